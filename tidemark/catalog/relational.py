@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.catalog.registry import register, table
 from tidemark.functions.codes import AUTH_REASON_RANGES, AUTH_REASONS, EXPLORERS
@@ -13,7 +12,7 @@ from tidemark.functions.temporal import ntz
 from tidemark.functions.text import code_map
 from tidemark.operators.latest import at_max_per_group, first_per_key, latest_per_key
 from tidemark.operators.lookup import salted_join
-from tidemark.operators.running import global_row_number, group_count, running_share, with_total_row
+from tidemark.operators.running import global_row_number, group_count, running_share, with_group_values, with_total_row
 
 # --- projections and predicates -------------------------------------------------------
 
@@ -334,9 +333,9 @@ def semi_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("anti_join", """
-SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""")
 def anti_join(spark: SparkSession, sf: str) -> DataFrame:
-    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders").filter("o_totalprice > 400000")
     return c.join(o, c.c_custkey == o.o_custkey, "left_anti").select("c_custkey")
 
 
@@ -399,9 +398,10 @@ def select_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_type", "user_id").distinct()
 
 
-@register("window_total", """
+@register("share_of_group", """
 SELECT o_orderkey, round(o_totalprice / sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey), 9) AS share FROM orders""")
-def window_total(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("o_custkey")
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).over(w).cast("double")
-    return table(spark, sf, "orders").select("o_orderkey", F.round(F.col("o_totalprice") / total, 9).alias("share"))
+def share_of_group(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
+    return with_group_values(o, ["o_custkey"], [total]).select(
+        "o_orderkey", F.round(F.col("o_totalprice") / F.col("total"), 9).alias("share"))

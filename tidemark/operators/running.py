@@ -22,16 +22,22 @@ def running_share(df: DataFrame, group: Sequence[str], order: Sequence[str], val
         "running_ratio", F.col("running_total").cast("double") / F.col("group_total").cast("double"))
 
 
-def group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Add the number of rows of each group, as a window count would.
+def with_group_values(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """Add aggregates of each row's group, as window aggregates would.
 
-    Done as a map-side combined aggregate and a join, so that a group holding a third
-    of the rows need not pass through one task.  Groups with a NULL key count 0.
+    Done as a map-side combined aggregate and an equi-join, so that a group holding a
+    third of the rows need not pass through one task.  Rows with a NULL key get NULLs.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    values = df.groupBy(*keys).agg(*aggregates)
     for k in keys:
-        sizes = sizes.filter(F.col(k).isNotNull())
-    return df.join(sizes, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(0)))
+        values = values.filter(F.col(k).isNotNull())
+    return df.join(values, list(keys), "left")
+
+
+def group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the number of rows of each group; rows with a NULL key count 0."""
+    counted = with_group_values(df, keys, [F.count(F.lit(1)).alias(name)])
+    return counted.withColumn(name, F.coalesce(name, F.lit(0)))
 
 
 def global_row_number(df: DataFrame, first: Sequence[str], then: Sequence[Column], name: str) -> DataFrame:
