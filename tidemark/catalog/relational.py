@@ -268,13 +268,15 @@ def multi_key_left_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("join_on_expressions", """
-WITH keyed AS (SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
-SELECT a.event_id, b.event_id AS other FROM keyed a LEFT JOIN (SELECT * FROM keyed WHERE event_id % 50 = 0) b
-  ON CAST(a.ts AS DATE) = CAST(b.ts AS DATE) AND a.k = b.k""")
+WITH keyed AS (SELECT event_id, event_type, CAST(ts AS DATE) AS day, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+firsts AS (SELECT day, k, min(event_id) AS first_purchase FROM keyed WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT event_id, first_purchase FROM keyed LEFT JOIN firsts ON keyed.day = firsts.day AND keyed.k = firsts.k WHERE event_type = 'click'""")
 def join_on_expressions(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), text_at("props", "k").alias("k"))
-    b = e.filter("event_id % 50 = 0").withColumnRenamed("event_id", "other")
-    return e.join(b, ["day", "k"], "left").select("event_id", "other")
+    e = table(spark, sf, "events")
+    key = [F.to_date("ts").alias("day"), text_at("props", "k").cast("bigint").alias("k")]
+    firsts = e.filter("event_type = 'purchase'").groupBy(*key).agg(F.min("event_id").alias("first_purchase"))
+    return e.filter("event_type = 'click'").select("event_id", *key).join(firsts, ["day", "k"], "left") \
+        .select("event_id", "first_purchase")
 
 
 @register("join_with_validity_dates", """

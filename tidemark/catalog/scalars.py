@@ -219,18 +219,18 @@ def masks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("ip_places", """
-WITH seen AS (SELECT event_id, (user_id * 2654435 + event_id % 97) % 4294967296 AS n FROM events),
-ranges AS (SELECT s_suppkey * 40000000 % 4000000000 + s_suppkey AS lo, s_suppkey * 40000000 % 4000000000 + s_suppkey + 30000000 AS hi,
-  'C' || s_nationkey AS country, 'S' || s_suppkey AS state FROM supplier WHERE s_suppkey < 100)
+WITH seen AS (SELECT event_id, user_id * 26544 + event_id % 97 AS n FROM events),
+ranges AS (SELECT s_suppkey * 40000 AS lo, s_suppkey * 40000 + 30000 AS hi,
+  'C' || s_nationkey AS country, 'S' || s_suppkey AS state FROM supplier)
 SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE country END AS country, CASE WHEN event_id % 11 = 0 THEN NULL ELSE state END AS state
 FROM seen LEFT JOIN ranges ON n BETWEEN lo AND hi""")
 def ip_places(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").select("event_id", ((F.col("user_id") * 2654435 + F.col("event_id") % 97) % 4294967296).alias("n"))
+    e = table(spark, sf, "events").select("event_id", (F.col("user_id") * 26544 + F.col("event_id") % 97).alias("n"))
     octets = [F.shiftright("n", k).bitwiseAND(F.lit(255)).cast("string") for k in (24, 16, 8, 0)]
     ips = e.select("event_id", F.when(F.col("event_id") % 11 == 0, "::1").otherwise(F.concat_ws(".", *octets)).alias("ip"))
-    s = table(spark, sf, "supplier").filter("s_suppkey < 100")
-    low = F.col("s_suppkey") * 40000000 % 4000000000 + F.col("s_suppkey")
-    ranges = s.select(low.alias("lo"), (low + 30000000).alias("hi"),
+    s = table(spark, sf, "supplier")
+    low = F.col("s_suppkey") * 40000
+    ranges = s.select(low.alias("lo"), (low + 30000).alias("hi"),
                       F.concat(F.lit("C"), F.col("s_nationkey").cast("string")).alias("country"),
                       F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("state"))
     return ip_place(ips, "ip", ranges, ["country", "state"]).drop("ip")

@@ -1,21 +1,17 @@
 """Read and edit JSON held as text, JVM-side.
 
 Reading goes through ``get_json_object`` with quoted steps, so keys may hold spaces
-and dots.  Editing parses one level into ``map<string,variant>``: the values keep
-their own types and nesting, so any depth can be edited without a Python function.
+and dots.  Editing goes through variants: the values keep their own types and nesting, so
+any depth can be edited without a Python function.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LEVEL = "map<string,variant>"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -46,69 +42,112 @@ def is_json_null(c: Column | str, *path: str | int) -> Column:
     return F.when(v.isNotNull(), F.is_variant_null(v))
 
 
-def _level(c: Column) -> Column:
-    return F.from_json(c, _LEVEL)
+# Editing works on variants.  Each level is opened once as a map (or array) of variants,
+# changed by a higher-order function and closed again, so the size of the expression
+# grows with the number of paths only and a text is parsed and written once.
+
+_Edit = Callable[[Column], Column]
+
+
+def _edited(c: Column | str, *edits: _Edit) -> Column:
+    """Apply edits to a JSON text.  Text that is no JSON gives NULL, so nothing leaks."""
+    cell = F.array(F.try_parse_json(_col(c)))
+    for edit in edits:
+        cell = F.transform(cell, edit)
+    return F.to_json(F.get(cell, F.lit(0)))
+
+
+def _as_map(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _as_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _is_object(c: Column) -> Column:
-    return F.coalesce(F.ltrim(c).startswith("{"), F.lit(False))
+def _tree(paths: Sequence[Sequence[str]]) -> dict:
+    root: dict = {}
+    for path in paths:
+        node = root
+        for step in path[:-1]:
+            node = node.setdefault(step, {})
+            if node is None:
+                break
+        else:
+            node[path[-1]] = None
+    return root
+
+
+def _pruned(v: Column, tree: dict) -> Column:
+    gone = [k for k, sub in tree.items() if sub is None]
+    deeper = {k: sub for k, sub in tree.items() if sub is not None}
+
+    def descend(name: Column, x: Column) -> Column:
+        out = x
+        for k, sub in deeper.items():
+            out = F.when(name == F.lit(k), _pruned(x, sub)).otherwise(out)
+        return out
+
+    level = F.map_filter(_as_map(v), lambda k, _: ~k.isin(gone)) if gone else _as_map(v)
+    if deeper:
+        level = F.transform_values(level, descend)
+    candidates = [F.to_variant_object(level)]
+    if any(k.isdigit() for k in tree):
+        items = _as_array(v)
+        if deeper:
+            items = F.transform(items, lambda x, i: descend(i.cast("string"), x))
+        if gone:
+            items = F.filter(items, lambda _, i: ~i.cast("string").isin(gone))
+        candidates.append(F.to_variant_object(items))
+    return F.coalesce(*candidates, v)
 
 
 def drop_keys(c: Column | str, *keys: str) -> Column:
     """Remove top-level keys from a JSON object; other JSON is left alone."""
-    text = _col(c)
-    kept = F.map_filter(_level(text), lambda k, _: ~k.isin(list(keys)))
-    return F.when(_is_object(text), F.to_json(kept)).otherwise(text)
+    return drop_paths(c, [[k] for k in keys])
 
 
 def drop_path(c: Column | str, *path: str) -> Column:
-    """Remove what stands at a nested object path; a missing path changes nothing."""
-    text = _col(c)
-    head, rest = path[0], path[1:]
-    if not rest:
-        return drop_keys(text, head)
-    inner = F.to_json(F.try_element_at(_level(text), F.lit(head)))
-    return F.when(_is_object(inner), _with_key(text, head, drop_path(inner, *rest))).otherwise(text)
+    """Remove what stands at a nested path; a missing path changes nothing."""
+    return drop_paths(c, [path])
 
 
 def drop_paths(c: Column | str, paths: Sequence[Sequence[str]]) -> Column:
-    """Remove several paths.  Top-level keys go in one pass."""
-    text = _col(c)
-    flat = [p[0] for p in paths if len(p) == 1]
-    deep = [p for p in paths if len(p) > 1]
-    if flat:
-        text = drop_keys(text, *flat)
-    return reduce(lambda acc, p: drop_path(acc, *p), deep, text)
+    """Remove several paths in one pass.  Steps are object keys; digits also name array places."""
+    tree = _tree(sorted(paths, key=len))
+    return _edited(c, lambda v: _pruned(v, tree))
 
 
-def _with_key(text: Column, key: str, value_json: Column) -> Column:
-    others = F.map_filter(_level(text), lambda k, _: k != F.lit(key))
-    return F.to_json(F.map_concat(others, F.create_map(F.lit(key), F.parse_json(value_json))))
+def _placed(v: Column, path: Sequence[str], value: Column) -> Column:
+    head, rest = path[0], path[1:]
+    if rest:
+        level = F.transform_values(
+            _as_map(v), lambda k, x: F.when(k == F.lit(head), _placed(x, rest, value)).otherwise(x))
+    else:
+        level = F.map_concat(F.map_filter(_as_map(v), lambda k, _: k != F.lit(head)), F.create_map(F.lit(head), value))
+    return F.coalesce(F.to_variant_object(level), v)
 
 
 def set_path(c: Column | str, path: Sequence[str], value_json: Column) -> Column:
     """Put JSON at an object path whose parents exist; otherwise nothing changes."""
-    text = _col(c)
-    head, rest = path[0], path[1:]
-    if not rest:
-        return F.when(_is_object(text), _with_key(text, head, F.coalesce(value_json, F.lit("null")))).otherwise(text)
-    inner = F.to_json(F.try_element_at(_level(text), F.lit(head)))
-    return F.when(_is_object(inner), _with_key(text, head, set_path(inner, rest, value_json))).otherwise(text)
+    value = F.parse_json(F.coalesce(value_json, F.lit("null")))
+    return _edited(c, lambda v: _placed(v, list(path), value))
 
 
 def overlay(c: Column | str, fields: Mapping[str, Column]) -> Column:
     """Put named text values over a JSON object; a NULL value becomes JSON null."""
-    text = _col(c)
-    others = F.map_filter(_level(text), lambda k, _: ~k.isin(list(fields)))
-    flat = [x for k, v in fields.items()
-            for x in (F.lit(k), F.parse_json(F.coalesce(_quoted(v), F.lit("null"))))]
-    return F.when(_is_object(text), F.to_json(F.map_concat(others, F.create_map(*flat)))).otherwise(text)
+    flat = [x for k, v in fields.items() for x in (F.lit(k), _text_variant(v))]
+
+    def over(v: Column) -> Column:
+        others = F.map_filter(_as_map(v), lambda k, _: ~k.isin(list(fields)))
+        return F.coalesce(F.to_variant_object(F.map_concat(others, F.create_map(*flat))), v)
+
+    return _edited(c, over)
 
 
-def _quoted(value: Column) -> Column:
-    """A text as a JSON string, escapes and all."""
-    return F.when(value.isNotNull(),
-                  F.regexp_extract(F.to_json(F.struct(value.cast("string").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
+def _text_variant(value: Column) -> Column:
+    """A text as a variant; NULL as JSON null."""
+    return F.coalesce(value.cast("string").cast("variant"), F.parse_json(F.lit("null")))
 
 
 def build(fields: Mapping[str, Column]) -> Column:
