@@ -220,8 +220,14 @@ class Domain:
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def _read(self, name: str) -> DataFrame:
         text = _GIVEN.sub(lambda m: f"parquet.`{self._folder}/{m.group(1)}.parquet`", _sql(_DOMAIN[name]))
         return self._spark.sql(text.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
 

@@ -17,6 +17,7 @@ from tidemark.functions.jsonops import first_text, text_at
 from tidemark.functions.temporal import ntz, whole_days
 from tidemark.functions.text import any_like, code_map, concat_skip_null, strip_chars
 from tidemark.operators.latest import first_per_key, latest_per_key
+from tidemark.sinks.tables import parked
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,7 +31,7 @@ def acquirer_reference(raw: Column | str) -> Column:
 
 def near(df: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
     """The rows of a large table that belong to some cases."""
-    return df.join(ids.select(*keys).distinct(), list(keys), "left_semi")
+    return df.join(ids.select(*keys), list(keys), "left_semi")
 
 
 def recent_disputes(t: Tables, as_of: object, days: int = 5) -> DataFrame:
@@ -160,7 +161,7 @@ def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = F
     Mastercard; for one US broker 7 is priced as Mastercard.  ``as_written`` keeps the
     original precedence of the verification rule, by which a selfie alone scores 0.
     """
-    cases = identity_cases(t, as_of, days)
+    cases = parked(identity_cases(t, as_of, days))
     auth = near(t["proc_requests"].filter("tx_type = 'authorization'"), cases, "payment_id")
     avs = latest_per_key(auth, "payment_id", ["created_at", "id"]).select(
         "payment_id", avs_matches(F.col("processor"), F.col("raw_response")).alias("avs"))
@@ -406,7 +407,7 @@ def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str
     confirmed = near(t["user_browser_events"], cb, "payment_id").select(
         "payment_id", (F.col("event_type") == "confirm-coin-delivery").alias("confirmed")).distinct()
 
-    x = cb.join(pay, "payment_id").withColumns({
+    x = parked(cb.join(pay, "payment_id")).withColumns({
         "login_ip": text_at("login", "ip"), "created_on": F.to_date("created_at"), "posted_on": F.to_date("posted_at")})
     em = t["enrich_maxmind"].select(
         text_at("request_data", "bin").alias("bin"), text_at("request_data", "i").alias("login_ip"),
@@ -527,8 +528,8 @@ CRM_FIELDS = {
 def case_file(t: Tables, as_of: object, days: int = 5, cards_since: object = "2022-01-01",
               approved_events: Sequence[str] = APPROVED_EVENTS) -> DataFrame:
     """The whole case file under CRM names, one row per case and combination of its evidence."""
-    base = cases(t, as_of, days, approved_events)
-    peers = delivered(t, base)
+    base = parked(cases(t, as_of, days, approved_events))
+    peers = parked(delivered(t, base))
     rings = near(t["fraud_ring_tags"], base, "payment_id").select("payment_id", "tag").distinct()
     x = base
     for part in (

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import shared_folder
+
 
 def replace_table(spark: SparkSession, df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Truncate-insert without a moment of emptiness: write aside, then rename.
@@ -37,3 +41,16 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def parked(df: DataFrame) -> DataFrame:
+    """A small intermediate result that many joins use, computed once.
+
+    Written as Parquet to the cluster's shared folder (``spark.checkpoint.dir``), so it
+    outlives lost executors and its true size is known when the joins are planned.
+    Without such a folder the DataFrame is given back as it is.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    return stage(df, f"{folder.rstrip('/')}/tidemark/{uuid.uuid4().hex}")
