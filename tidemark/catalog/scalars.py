@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import register, table
 from tidemark.functions import jsonops, pii, temporal
 from tidemark.functions.text import concat_skip_null, display_amount, display_percent, strip_chars, trim_fraction, url_host
-from tidemark.operators.lookup import ip_place
+from tidemark.operators.lookup import ip_place, range_lookup
 
 PEPPER, SALT = "pepper", "salt"
 
@@ -126,23 +126,23 @@ def json_read(spark: SparkSession, sf: str) -> DataFrame:
 @register("json_drop_keys", """
 SELECT event_id, '{"list":[1,2,{"a":null}],"n":' || event_id || ',"user":{"address":{"city":"X","zip":"' || event_id || '"},"name":"u' || user_id || '"}}' AS body FROM events""")
 def json_drop_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return bodies(spark, sf).select("event_id", _sorted(jsonops.drop_keys("body", "ip", "primary.phone", "absent")))
+    return bodies(spark, sf).select("event_id", jsonops.drop_keys("body", "ip", "primary.phone", "absent").alias("body"))
 
 
 @register("json_drop_paths", """
 SELECT event_id, '{"list":[1,2,{"a":null}],"n":' || event_id || ',"primary.phone":"555' || event_id || '","user":{"address":{"city":"X"}}}' AS body FROM events""")
 def json_drop_paths(spark: SparkSession, sf: str) -> DataFrame:
     edited = jsonops.drop_paths("body", [["ip"], ["user", "name"], ["user", "address", "zip"], ["user", "absent", "x"]])
-    return bodies(spark, sf).select("event_id", _sorted(edited))
+    return bodies(spark, sf).select("event_id", edited.alias("body"))
 
 
 @register("json_overlay", """
 SELECT event_id, '{"ip":"FR","list":[1,2,{"a":null}],"n":' || event_id || ',"primary.phone":null,"user":{"address":{"city":"Y","zip":"'
   || event_id || '"},"name":"u' || user_id || '"}}' AS body FROM events""")
 def json_overlay(spark: SparkSession, sf: str) -> DataFrame:
-    edited = jsonops.set_path("body", ["user", "address", "city"], F.lit('"Y"'))
-    edited = jsonops.overlay(edited, {"ip": F.lit("FR"), "primary.phone": F.lit(None).cast("string")})
-    return bodies(spark, sf).select("event_id", _sorted(edited))
+    edited = jsonops.edit("body", over={"ip": F.lit("FR"), "primary.phone": F.lit(None).cast("string")},
+                          put={("user", "address", "city"): F.lit('"Y"')})
+    return bodies(spark, sf).select("event_id", edited.alias("body"))
 
 
 @register("json_build", """
@@ -152,11 +152,6 @@ def json_build(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", jsonops.build({"country": F.col("event_type"), "state": F.lit(None).cast("string")}).alias("body"))
 
 
-def _sorted(c):
-    """Objects written with sorted keys, as a variant keeps them."""
-    return F.to_json(F.parse_json(c)).alias("body")
-
-
 # --- personal data --------------------------------------------------------------------
 
 @register("pseudonymise_emails", f"""
@@ -234,3 +229,12 @@ def ip_places(spark: SparkSession, sf: str) -> DataFrame:
                       F.concat(F.lit("C"), F.col("s_nationkey").cast("string")).alias("country"),
                       F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("state"))
     return ip_place(ips, "ip", ranges, ["country", "state"]).drop("ip")
+
+
+@register("range_lookup", """
+WITH ranges AS (SELECT s_suppkey * 40 AS lo, s_suppkey * 40 + 30 AS hi, s_name AS name FROM supplier)
+SELECT o_orderkey, name FROM orders LEFT JOIN ranges ON o_custkey BETWEEN lo AND hi""")
+def range_of_customer(spark: SparkSession, sf: str) -> DataFrame:
+    low = F.col("s_suppkey") * 40
+    ranges = table(spark, sf, "supplier").select(low.alias("lo"), (low + 30).alias("hi"), F.col("s_name").alias("name"))
+    return range_lookup(table(spark, sf, "orders"), "o_custkey", ranges).select("o_orderkey", "name")

@@ -32,8 +32,7 @@ def first_text(c: Column | str, *keys: str) -> Column:
 
 def present(c: Column | str, *path: str | int) -> Column:
     """True only if the path exists and does not hold JSON null."""
-    v = F.try_variant_get(F.try_parse_json(_col(c)), _steps(path), "variant")
-    return v.isNotNull() & ~F.coalesce(F.is_variant_null(v), F.lit(True))
+    return text_at(c, *path).isNotNull()
 
 
 def is_json_null(c: Column | str, *path: str | int) -> Column:
@@ -114,8 +113,7 @@ def drop_path(c: Column | str, *path: str) -> Column:
 
 def drop_paths(c: Column | str, paths: Sequence[Sequence[str]]) -> Column:
     """Remove several paths in one pass.  Steps are object keys; digits also name array places."""
-    tree = _tree(sorted(paths, key=len))
-    return _edited(c, lambda v: _pruned(v, tree))
+    return edit(c, drop=paths)
 
 
 def _placed(v: Column, path: Sequence[str], value: Column) -> Column:
@@ -128,21 +126,36 @@ def _placed(v: Column, path: Sequence[str], value: Column) -> Column:
     return F.coalesce(F.to_variant_object(level), v)
 
 
+def _placing(path: list[str], value: Column) -> _Edit:
+    return lambda v: _placed(v, path, value)
+
+
 def set_path(c: Column | str, path: Sequence[str], value_json: Column) -> Column:
     """Put JSON at an object path whose parents exist; otherwise nothing changes."""
-    value = F.parse_json(F.coalesce(value_json, F.lit("null")))
-    return _edited(c, lambda v: _placed(v, list(path), value))
+    return edit(c, put={tuple(path): value_json})
 
 
 def overlay(c: Column | str, fields: Mapping[str, Column]) -> Column:
     """Put named text values over a JSON object; a NULL value becomes JSON null."""
-    flat = [x for k, v in fields.items() for x in (F.lit(k), _text_variant(v))]
-
-    def over(v: Column) -> Column:
-        others = F.map_filter(_as_map(v), lambda k, _: ~k.isin(list(fields)))
-        return F.coalesce(F.to_variant_object(F.map_concat(others, F.create_map(*flat))), v)
-
-    return _edited(c, over)
+    return edit(c, over=fields)
+
+
+def edit(c: Column | str, drop: Sequence[Sequence[str]] = (), over: Mapping[str, Column] | None = None,
+         put: Mapping[Sequence[str], Column] | None = None) -> Column:
+    """Drop paths, lay text fields over the top level, put JSON at paths: in this order,
+    with the text parsed and written once."""
+    edits: list[_Edit] = []
+    if drop:
+        tree = _tree(sorted(drop, key=len))
+        edits.append(lambda v: _pruned(v, tree))
+    if over:
+        flat = [x for k, v in over.items() for x in (F.lit(k), _text_variant(v))]
+        edits.append(lambda v: F.coalesce(F.to_variant_object(F.map_concat(
+            F.map_filter(_as_map(v), lambda k, _: ~k.isin(list(over))), F.create_map(*flat))), v))
+    for path, value_json in (put or {}).items():
+        value = F.parse_json(F.coalesce(value_json, F.lit("null")))
+        edits.append(_placing(list(path), value))
+    return _edited(c, *edits)
 
 
 def _text_variant(value: Column) -> Column:

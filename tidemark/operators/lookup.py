@@ -11,13 +11,15 @@ from pyspark.sql import Window
 _BLOCK = 65536
 
 
+# Fixed value: four numbers from 0 to 255, with dots between.
+_IPV4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
+
+
 def ipv4_number(c: Column | str) -> Column:
     """IPv4 text to a number; NULL for anything else."""
     text = F.col(c) if isinstance(c, str) else c
-    ok = text.rlike(r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$")
-    p = F.split(text, r"\.")
-    number = (p[0].cast("long") * 16777216 + p[1].cast("long") * 65536 + p[2].cast("long") * 256 + p[3].cast("long"))
-    return F.when(ok, number)
+    number = F.aggregate(F.split(text, r"\."), F.lit(0).cast("long"), lambda acc, x: acc * 256 + x.cast("long"))
+    return F.when(text.rlike(_IPV4), number)
 
 
 def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16,
@@ -42,26 +44,35 @@ def range_blocks(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFr
     return ranges.withColumn("__block", F.explode(F.sequence(first, last)))
 
 
+def _in_ranges(numbers: DataFrame, number: str, ranges: DataFrame, low: str, high: str) -> DataFrame:
+    """Inner join to the range that holds each number, by equality on the block."""
+    keyed = numbers.withColumn("__block", F.call_function("div", F.col(number), F.lit(_BLOCK)))
+    hit = F.col(number).between(F.col(low), F.col(high))
+    return keyed.join(range_blocks(ranges, low, high), "__block").filter(hit).drop("__block")
+
+
 def range_lookup(fact: DataFrame, number: str, ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
     """Left join of each number to the range that holds it; ranges must not overlap.
 
-    The distinct numbers are looked up, by equality on their block of 65,536, and the
-    answer is joined back, so a number seen a billion times costs one range test.
-    Both joins are plain equi-joins: small lookup sides are broadcast by Spark once it
-    knows their size, larger ones are shuffled and skewed partitions split.
+    The distinct numbers are looked up and the answer is joined back, so a number seen a
+    billion times costs one range test.  Both joins are plain equi-joins: small lookup
+    sides are broadcast by Spark once it knows their size, larger ones are shuffled and
+    skewed partitions split.
     """
-    blocks = range_blocks(ranges, low, high)
-    numbers = fact.select(F.col(number).alias("__number")).filter(F.col(number).isNotNull()).distinct().withColumn(
-        "__block", F.call_function("div", F.col("__number"), F.lit(_BLOCK)))
-    found = numbers.join(blocks, "__block").filter(F.col("__number").between(F.col(low), F.col(high)))
-    found = found.drop("__block")
+    numbers = fact.select(F.col(number).alias("__number")).filter(F.col(number).isNotNull()).distinct()
+    found = _in_ranges(numbers, "__number", ranges, low, high)
     return fact.join(found, fact[number] == found["__number"], "left").drop("__number")
 
 
 def ip_place(fact: DataFrame, ip: str, ranges: DataFrame, places: Sequence[str]) -> DataFrame:
-    """Add the place columns of an IPv4 text from a range table ``(lo, hi, ..)``; NULL if unknown."""
-    numbered = fact.withColumn("__ip", ipv4_number(ip))
-    return range_lookup(numbered, "__ip", ranges.select("lo", "hi", *places)).drop("__ip", "lo", "hi")
+    """Add the place columns of an IPv4 text from a range table ``(lo, hi, ..)``; NULL if unknown.
+
+    Addresses are made distinct as text, so each is parsed and looked up once.
+    """
+    seen = fact.select(F.col(ip).alias("__ip")).filter(F.col("__ip").isNotNull()).distinct()
+    placed = _in_ranges(seen.withColumn("__n", ipv4_number("__ip")), "__n", ranges.select("lo", "hi", *places), "lo", "hi")
+    placed = placed.select("__ip", *places)
+    return fact.join(placed, fact[ip] == placed["__ip"], "left").drop("__ip")
 
 
 def overlapping_ranges(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:

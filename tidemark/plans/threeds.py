@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.functions.codes import AUTH_REASON_RANGES, AUTH_REASONS, PROCESSOR_IDS
-from tidemark.functions.jsonops import present, text_at
+from tidemark.functions.jsonops import text_at
 from tidemark.functions.temporal import ntz
 from tidemark.functions.text import code_map, url_host
 from tidemark.operators.loads import rebuild_trailing
@@ -37,17 +37,15 @@ def reason_text(code: Column | str) -> Column:
 
 def _requests(t: Tables, since: Column) -> DataFrame:
     """Requests of the window that say something about authentication, with the parts that are read."""
-    body = F.col("request_data")
-    raw = t["payments_auth_requests"].filter(
-        (F.col("created_at") > since) & (present(body, "skip3ds") | present(body, "initialRiskChecks")))
-    action = text_at(body, "initialRiskChecks", "action", "name")
-    counted = group_count(raw, ["payment_attempt_reference_id"], "attempts")
-    return counted.select(
+    fields = "skip3ds string, initialRiskChecks string, processorId string, processorName string, threeDsVersion string"
+    raw = t["payments_auth_requests"].filter(F.col("created_at") > since).withColumn("r", F.from_json("request_data", fields))
+    raw = raw.filter(F.col("r.skip3ds").isNotNull() | F.col("r.initialRiskChecks").isNotNull())
+    action = text_at("r.initialRiskChecks", "action", "name")
+    return group_count(raw, ["payment_attempt_reference_id"], "attempts").select(
         "payment_id", "auth_request_id", "payment_attempt_reference_id", "request_data", "attempts",
-        F.col("created_at").alias("auth_request_created_at"),
-        text_at(body, "processorId").alias("processor_id"), text_at(body, "processorName").alias("processor_name"),
-        text_at(body, "threeDsVersion").alias("version"), text_at(body, "skip3ds").alias("skip_flag"),
-        F.coalesce((action != "threeds").cast("string"), text_at(body, "skip3ds")).alias("skips"))
+        F.col("created_at").alias("auth_request_created_at"), F.col("r.processorId").alias("processor_id"),
+        F.col("r.processorName").alias("processor_name"), F.col("r.threeDsVersion").alias("version"),
+        F.col("r.skip3ds").alias("skip_flag"), F.coalesce((action != "threeds").cast("string"), "r.skip3ds").alias("skips"))
 
 
 def _newest_links(links: DataFrame, since: Column) -> DataFrame:
