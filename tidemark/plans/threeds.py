@@ -37,15 +37,15 @@ def reason_text(code: Column | str) -> Column:
 
 def _requests(t: Tables, since: Column) -> DataFrame:
     """Requests of the window that say something about authentication, with the parts that are read."""
-    fields = "skip3ds string, initialRiskChecks string, processorId string, processorName string, threeDsVersion string"
-    raw = t["payments_auth_requests"].filter(F.col("created_at") > since).withColumn("r", F.from_json("request_data", fields))
-    raw = raw.filter(F.col("r.skip3ds").isNotNull() | F.col("r.initialRiskChecks").isNotNull())
-    action = text_at("r.initialRiskChecks", "action", "name")
-    return group_count(raw, ["payment_attempt_reference_id"], "attempts").select(
-        "payment_id", "auth_request_id", "payment_attempt_reference_id", "request_data", "attempts",
-        F.col("created_at").alias("auth_request_created_at"), F.col("r.processorId").alias("processor_id"),
-        F.col("r.processorName").alias("processor_name"), F.col("r.threeDsVersion").alias("version"),
-        F.col("r.skip3ds").alias("skip_flag"), F.coalesce((action != "threeds").cast("string"), "r.skip3ds").alias("skips"))
+    parts = F.json_tuple("request_data", "skip3ds", "initialRiskChecks", "processorId", "processorName", "threeDsVersion")
+    raw = t["payments_auth_requests"].filter(F.col("created_at") > since).select(
+        "payment_id", "auth_request_id", "payment_attempt_reference_id", "request_data",
+        F.col("created_at").alias("auth_request_created_at"),
+        parts.alias("skip_flag", "checks", "processor_id", "processor_name", "version"))
+    raw = raw.filter(F.col("skip_flag").isNotNull() | F.col("checks").isNotNull())
+    action = text_at("checks", "action", "name")
+    counted = group_count(raw, ["payment_attempt_reference_id"], "attempts")
+    return counted.withColumn("skips", F.coalesce((action != "threeds").cast("string"), "skip_flag")).drop("checks")
 
 
 def _newest_links(links: DataFrame, since: Column) -> DataFrame:
