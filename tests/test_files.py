@@ -78,6 +78,15 @@ def test_only_named_partitions_are_replaced(spark, tmp_path):
     assert rows(spark.read.parquet(path), "v", "day") == [(1, "a"), (9, "b")]
 
 
+def test_merge_touches_only_the_partitions_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.createDataFrame([(1, "x", "a"), (2, "y", "b"), (3, "z", "c")], "id int, v string, day string").write.partitionBy("day").parquet(path)
+    untouched = sorted((tmp_path / "m" / "day=a").iterdir())
+    tables.merge_partitions(path, spark.createDataFrame([(2, "new", "b"), (4, "n", "d")], "id int, v string, day string"), "id", "day")
+    assert rows(spark.read.parquet(path), "id", "v", "day") == [(1, "x", "a"), (2, "new", "b"), (3, "z", "c"), (4, "n", "d")]
+    assert sorted((tmp_path / "m" / "day=a").iterdir()) == untouched
+
+
 def test_read_table_prunes_and_pushes_down(spark, capsys):
     read_table(spark, f"{SMALL}/orders.parquet", ["o_orderkey"], "o_custkey = 5").explain("formatted")
     plan = capsys.readouterr().out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,6 +149,15 @@ def extract_with_condition(spark: SparkSession, sf: str) -> DataFrame:
         condition="event_type = 'click' and ts < timestamp_ntz'2024-01-20'").select("event_id", "value")
 
 
+@register("paged_read", """
+SELECT event_id, CAST(event_id // (SELECT CAST(ceil(count(*) / 4.0) AS BIGINT) FROM events) + 1 AS INTEGER) AS page FROM events""")
+def paged_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A source read in four pages, each starting where the last one ended."""
+    e = table(spark, sf, "events").select("event_id")
+    pages = [p.withColumn("page", F.lit(n)) for n, p in enumerate(batches.batches(e, "event_id", -(-e.count() // 4)), 1)]
+    return reduce(DataFrame.unionByName, pages)
+
+
 @register("event_files", """
 SELECT event_type, count(*) AS n, 'events.parquet' AS file_name, true AS has_load_time FROM events GROUP BY event_type""")
 def event_files(spark: SparkSession, sf: str) -> DataFrame:

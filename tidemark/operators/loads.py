@@ -175,15 +175,15 @@ def overwrite_window(target: DataFrame, source: DataFrame, ts: str, start: objec
     Rows of the source outside the window are left out; rows of the target without a
     time are kept.
     """
-    kept = target.filter(~F.coalesce(in_window(ts, start, end), F.lit(False)))
+    kept = target.filter((F.col(ts) <= ntz(start)) | (F.col(ts) > ntz(end)) | F.col(ts).isNull())
     return kept.unionByName(source.filter(in_window(ts, start, end)), allowMissingColumns=True)
 
 
 def rebuild_trailing(target: DataFrame, source: DataFrame, ts: str, today: object, days: int) -> DataFrame:
     """Replace everything later than ``today - days`` by the source's rows of that time."""
     since = ntz(today) - F.expr(f"interval {int(days)} day")
-    late = F.col(ts) > since
-    return target.filter(~F.coalesce(late, F.lit(False))).unionByName(source.filter(late))
+    kept = target.filter((F.col(ts) <= since) | F.col(ts).isNull())
+    return kept.unionByName(source.filter(F.col(ts) > since))
 
 
 def dedupe_recent(df: DataFrame, key: str, loaded_at: str, since: object, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -191,9 +191,9 @@ def dedupe_recent(df: DataFrame, key: str, loaded_at: str, since: object, tie_br
 
     Older rows and rows without a key pass through and are not shuffled.
     """
-    recent = (F.col(loaded_at) >= ntz(since)) & F.col(key).isNotNull()
-    recent = F.coalesce(recent, F.lit(False))
-    return latest_per_key(df.filter(recent), key, [loaded_at, *tie_break]).unionByName(df.filter(~recent))
+    recent = df.filter((F.col(loaded_at) >= ntz(since)) & F.col(key).isNotNull())
+    rest = df.filter((F.col(loaded_at) < ntz(since)) | F.col(loaded_at).isNull() | F.col(key).isNull())
+    return latest_per_key(recent, key, [loaded_at, *tie_break]).unionByName(rest)
 
 
 # --- watermarks -------------------------------------------------------------------

@@ -52,11 +52,15 @@ def value_difference(source: DataFrame, target: DataFrame, columns: Sequence[str
 def transform_check(source: DataFrame, target: DataFrame, name: str, columns: Sequence[str],
                     where: str | None = None) -> DataFrame:
     """Value and count difference of one table in one row."""
-    diff = value_difference(source, target, columns, where).agg(
-        F.count(F.when(F.col("only_in") == "source", 1)).alias("missing_in_target"),
-        F.count(F.when(F.col("only_in") == "target", 1)).alias("missing_in_source")).withColumn(
-        "table_name", F.lit(name))
-    return count_difference(source, target, name).join(diff, "table_name")
+    diff = value_difference(source, target, columns, where).groupBy("only_in").agg(F.count(F.lit(1)).alias("n"))
+    sides = F.when(F.col("only_in") == "source", "missing_in_target").otherwise("missing_in_source")
+    measures = reduce(DataFrame.unionByName, [
+        _one_count(source, name, "source_count"), _one_count(target, name, "target_count"),
+        diff.select(F.lit(name).alias("table_name"), sides.alias("side"), "n")])
+    out = measures.groupBy("table_name").agg(*[
+        F.sum(F.when(F.col("side") == m, F.col("n")).otherwise(0)).alias(m)
+        for m in ("source_count", "target_count", "missing_in_target", "missing_in_source")])
+    return out.withColumn("delta", F.col("source_count") - F.col("target_count"))
 
 
 def check_window(now: object, years_back: int) -> tuple[Column, Column]:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators import loads
 from tidemark.session import shared_folder
 
 
@@ -54,3 +56,21 @@ def parked(df: DataFrame) -> DataFrame:
     if folder is None:
         return df
     return stage(df, f"{folder.rstrip('/')}/tidemark/{uuid.uuid4().hex}")
+
+
+def merge_partitions(path: str, batch: DataFrame, key: str | Sequence[str], partition: str,
+                     newest_by: Sequence[str] | None = None) -> None:
+    """Upsert a batch into a partitioned Parquet table, touching only its own partitions.
+
+    For keys that never change partition (a payment and its day).  The partitions of
+    the table are pruned to those of the batch while the plan runs, and the result is
+    parked before it replaces them, as it was read from there.
+    """
+    spark = batch.sparkSession
+    batch = parked(batch)
+    table = spark.read.parquet(path)
+    touched = table.join(batch.select(partition).distinct(), partition, "left_semi").select(*table.columns)
+    merged = loads.merge(touched, batch, key, newest_by=newest_by)
+    if shared_folder(spark) is None:
+        raise RuntimeError("set spark.checkpoint.dir: the result has to be kept somewhere before it replaces its source")
+    overwrite_partitions(parked(merged), path, partition)
