@@ -22,6 +22,15 @@ def ipv4_number(c: Column | str) -> Column:
     return F.when(text.rlike(_IPV4), number)
 
 
+def near(df: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a large table that belong to some ids.
+
+    Without a hint: Spark broadcasts the ids while they are small, so the large table is
+    cut down where it is read.
+    """
+    return df.join(ids.select(*keys), list(keys), "left_semi")
+
+
 def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16,
                 spread_by: Sequence[str] = ()) -> DataFrame:
     """Equi-join of a large side with hot keys to a lookup side.

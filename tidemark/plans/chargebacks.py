@@ -17,6 +17,7 @@ from tidemark.functions.jsonops import first_text, text_at
 from tidemark.functions.temporal import ntz, whole_days
 from tidemark.functions.text import any_like, code_map, concat_skip_null, strip_chars
 from tidemark.operators.latest import first_per_key, latest_per_key
+from tidemark.operators.lookup import near
 from tidemark.sinks.tables import parked
 
 Tables = Mapping[str, DataFrame]
@@ -29,11 +30,6 @@ def acquirer_reference(raw: Column | str) -> Column:
     return first_text(raw, *codes.ARN_KEYS)
 
 
-def near(df: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
-    """The rows of a large table that belong to some cases."""
-    return df.join(ids.select(*keys), list(keys), "left_semi")
-
-
 def recent_disputes(t: Tables, as_of: object, days: int = 5) -> DataFrame:
     """Disputes that came in during the last days, at any stage."""
     return t["chargebacks"].filter(F.col("inserted_at") > ntz(as_of) - F.expr(f"interval {int(days)} day"))

@@ -1,7 +1,7 @@
 """Authentication funnel: one row per authentication request of a card payment.
 
-The reference form of this query hangs more than twenty left joins on the request
-table.  Here the small satellite tables are first joined among themselves, by the
+Two dozen satellite tables hang on the request table.  They are first cut down to the
+window's requests and authentications, then joined among themselves by the
 authentication they belong to, so that the large side is shuffled once by request and
 once by authentication, whatever the number of satellites.
 """
@@ -20,7 +20,9 @@ from tidemark.functions.jsonops import text_at
 from tidemark.functions.temporal import ntz
 from tidemark.functions.text import code_map, url_host
 from tidemark.operators.loads import rebuild_trailing
+from tidemark.operators.lookup import near
 from tidemark.operators.running import group_count
+from tidemark.sinks.tables import parked
 
 Tables = Mapping[str, DataFrame]
 
@@ -58,41 +60,45 @@ def _newest_links(links: DataFrame, since: Column) -> DataFrame:
     return links.withColumn("__rk", rank).filter("__rk = 1").select("auth_request_id", "threeds_id")
 
 
-def _first_flow(t: Tables) -> DataFrame:
+def _answered(requests: DataFrame, responses: DataFrame, key: str) -> DataFrame:
+    """Requests with their response, which names the request's ``id`` in column ``key``."""
+    wanted = requests.withColumnRenamed("id", key)
+    return wanted.join(near(responses, wanted, key).withColumn("__answered", F.lit(True)), key, "left")
+
+
+def _first_flow(t: Tables, requests: DataFrame) -> DataFrame:
     """What the plug-in of the first flow recorded, by request."""
-    enrolled = t["auth_request_enrollments"].join(
-        t["mpi_enrollments"].withColumnRenamed("id", "mpi_enrollments_id"), "mpi_enrollments_id", "left")
-    validated = t["auth_request_validations"].join(
-        t["mpi_validations"].withColumnRenamed("id", "mpi_authentication_validation_id"),
-        "mpi_authentication_validation_id", "left")
+    links = near(t["auth_request_enrollments"], requests, "auth_request_id").withColumnRenamed("mpi_enrollments_id", "id")
+    enrolled = _answered(links, t["mpi_enrollments"].withColumnRenamed("id", "link"), "link")
+    links = near(t["auth_request_validations"], requests, "auth_request_id").withColumnRenamed("mpi_authentication_validation_id", "id")
+    validated = _answered(links, t["mpi_validations"].withColumnRenamed("id", "link"), "link")
     return enrolled.select("auth_request_id", "mpi_provider", "is_enrolled", "enrollment_res").join(
         validated.select("auth_request_id", "three_d_result", F.col("eci").alias("mpi_eci")), "auth_request_id", "full_outer")
 
 
-def _legacy(t: Tables) -> DataFrame:
-    """Everything the older service knows, by authentication."""
-    pareq = t["create_pareq_requests"].join(
-        t["create_pareq_responses"], F.col("id") == F.col("create_pareq_request_id"), "left").select(
+def _legacy(t: Tables, ids: DataFrame) -> DataFrame:
+    """Everything the older service knows of some authentications."""
+    def of_ids(name: str) -> DataFrame:
+        return near(t[name], ids, "threeds_id")
+
+    pareq = _answered(of_ids("create_pareq_requests"), t["create_pareq_responses"], "create_pareq_request_id").select(
         "threeds_id", F.col("threeds_provider").alias("pareq_provider"), F.col("enrollment").alias("pareq_enrollment"),
         F.col("errors").alias("pareq_errors"))
-    pares = t["pares_validation_requests"].join(
-        t["pares_validation_responses"], F.col("id") == F.col("pares_validation_requests_id"), "left").select(
+    pares = _answered(of_ids("pares_validation_requests"), t["pares_validation_responses"], "pares_validation_requests_id").select(
         "threeds_id", F.col("status").alias("pares_status"), F.col("eci").alias("pares_eci"))
-    versions = (
-        t["threeds_versioning_requests"]
-        .join(t["versioning_requests"], F.col("version_request_id") == F.col("id"), "left")
-        .join(t["versioning_responses"], F.col("id") == F.col("versioning_requests_id"), "left")
-        .select("threeds_id", F.col("threeds_provider").alias("version_provider"),
-                F.col("versioning_requests_id").isNotNull().alias("versioned"), F.col("errors").alias("version_errors")))
-    answers = t["authentication_requests"].join(
-        t["authentication_responses"], F.col("id") == F.col("authentication_requests_id"), "left").select(
+    asked = of_ids("threeds_versioning_requests").withColumnRenamed("version_request_id", "id")
+    asked = asked.join(near(t["versioning_requests"], asked, "id"), "id", "left")
+    versions = _answered(asked, t["versioning_responses"], "versioning_requests_id").select(
+        "threeds_id", F.col("threeds_provider").alias("version_provider"), F.col("__answered").alias("versioned"),
+        F.col("errors").alias("version_errors"))
+    answers = _answered(of_ids("authentication_requests"), t["authentication_responses"], "authentication_requests_id").select(
         "threeds_id", F.col("status").alias("answer_status"), F.col("eci").alias("answer_eci"),
         F.col("errors").alias("answer_errors"), text_at("raw_response", "acsURL").alias("answer_acs_url"),
         text_at("raw_response", "authenticationResponse", "transStatusReason").alias("answer_reason"))
-    results = t["results"].select("threeds_id", F.col("status").alias("result_status"), F.col("eci").alias("result_eci"),
-                                  F.col("errors").alias("result_errors"))
-    base = t["threeds"].select(
-        F.col("id").alias("threeds_id"), F.col("amount").alias("old_amount"), F.col("currency_code").alias("old_currency"),
+    results = of_ids("results").select("threeds_id", F.col("status").alias("result_status"), F.col("eci").alias("result_eci"),
+                                       F.col("errors").alias("result_errors"))
+    base = near(t["threeds"].withColumnRenamed("id", "threeds_id"), ids, "threeds_id").select(
+        "threeds_id", F.col("amount").alias("old_amount"), F.col("currency_code").alias("old_currency"),
         F.col("card_scheme").alias("old_scheme"), F.col("mid_key").alias("old_mid"),
         F.col("credit_card_id").alias("old_card"))
     for part in (pareq, pares, versions, answers, results):
@@ -100,18 +106,18 @@ def _legacy(t: Tables) -> DataFrame:
     return base
 
 
-def _modern(t: Tables) -> DataFrame:
-    """Everything the newer service knows, by authentication."""
-    base = t["initialized_threeds"].select(
-        F.col("id").alias("threeds_id"), F.lit(True).alias("is_new"), F.col("amount").alias("new_amount"),
+def _modern(t: Tables, ids: DataFrame) -> DataFrame:
+    """Everything the newer service knows of some authentications."""
+    base = near(t["initialized_threeds"].withColumnRenamed("id", "threeds_id"), ids, "threeds_id").select(
+        "threeds_id", F.lit(True).alias("is_new"), F.col("amount").alias("new_amount"),
         F.col("currency_code").alias("new_currency"), F.col("scheme").alias("new_scheme"),
         F.col("merchant_name").alias("new_mid"), F.col("credit_card_id").alias("new_card"),
         F.col("version").cast("string").alias("new_version"))
-    outcome = t["authorization_result"].select(
+    outcome = near(t["authorization_result"], ids, "threeds_id").select(
         "threeds_id", F.col("enrollment_status").alias("new_enrollment"), F.col("errors").alias("new_errors"),
         F.col("acs_url").alias("new_acs_url"), "cascaded_to_v1")
-    verified = t["verified_threeds"].select("threeds_id", F.col("threeds_status").alias("new_status"),
-                                            F.col("eci").cast("string").alias("new_eci"))
+    verified = near(t["verified_threeds"], ids, "threeds_id").select(
+        "threeds_id", F.col("threeds_status").alias("new_status"), F.col("eci").cast("string").alias("new_eci"))
     return base.join(outcome, "threeds_id", "left").join(verified, "threeds_id", "left")
 
 
@@ -125,13 +131,14 @@ def authentication_funnel(t: Tables, since: object) -> DataFrame:
     Several challenges of one authentication do not multiply its row.
     """
     low = ntz(since)
+    window = t["payments_auth_requests"].filter(F.col("created_at") > low).select("auth_request_id")
+    links = parked(_newest_links(near(t["auth_request_threeds"], window, "auth_request_id"), low))
+    routed = near(t["auth_request_proc_requests"], window, "auth_request_id").select("auth_request_id", "proc_request_id")
     r = (
         _requests(t, low)
-        .join(_first_flow(t), "auth_request_id", "left")
-        .join(t["auth_request_proc_requests"].select("auth_request_id", "proc_request_id"), "auth_request_id", "left")
-        .join(_newest_links(t["auth_request_threeds"], low), "auth_request_id", "left")
-        .join(_modern(t), "threeds_id", "left")
-        .join(_legacy(t), "threeds_id", "left")
+        .join(_first_flow(t, window), "auth_request_id", "left").join(routed, "auth_request_id", "left")
+        .join(links, "auth_request_id", "left")
+        .join(_modern(t, links), "threeds_id", "left").join(_legacy(t, links), "threeds_id", "left")
     )
     version = F.col("version")
     no_version = F.coalesce((version == "0"), F.lit(False)) | version.isNull()
