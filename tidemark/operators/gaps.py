@@ -34,7 +34,7 @@ def find_gaps(df: DataFrame, feed: str, ts: str, thresholds: Mapping[str, int] =
 
     Times are compared in whole seconds.
     """
-    limit = code_map(feed, thresholds, default).cast("long")
+    limit = (code_map(feed, thresholds, default) if thresholds else F.lit(default)).cast("long")
     points = df.filter(F.col(ts).isNotNull()).select(
         F.col(feed).alias("feed"), trunc_ntz("second", ts).alias("t"), limit.alias("limit"))
     bucket = epoch_seconds("t") - F.pmod(epoch_seconds("t"), F.col("limit"))
