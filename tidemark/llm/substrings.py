@@ -38,6 +38,7 @@ from tidemark.llm.common import register, table
 #: Bytes of text that a Python worker hashes at once.
 AT_ONCE = 12 << 20
 _ODD = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LAST = (1 << 63) - 1  # stands for a null id
 _BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
 
 
@@ -101,13 +102,12 @@ def _settled(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 13, gram: int = 5) -> DataFrame:
     """One row for each of ``docs``: the key, ``n_words``, ``n_removed``, ``spans`` (first word, words) and ``kept``."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("id"),
-                       F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2):
-            ids, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
-            anchor, row, *_ = anchored(b.column(2), size, gram)
+        for b in slices(batches, 1):
+            ids = b.column(0).to_numpy()
+            anchor, row, *_ = anchored(b.column(1), size, gram)
             if not len(anchor):
                 continue
             order = np.lexsort((row, anchor))
@@ -122,13 +122,13 @@ def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
             send = np.flatnonzero(lowest | shared)
             anchor, row, shared, lowest = anchor[send], row[send], shared[send], lowest[send]
             k = np.where(lowest, anchor, anchor ^ (ids[row].astype(np.uint64) * _ODD[40]))
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[row]), pa.array(copies[row]),
-                                              pa.array(anchor.view(np.int64)), pa.array(shared)], ["k", "id", "copy", "anchor", "shared"])
+            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[row]),
+                                              pa.array(anchor.view(np.int64), mask=lowest), pa.array(shared)], ["k", "id", "anchor", "shared"])
 
     meeting = Window.partitionBy("k")
-    found = (rows.select("id", "copy", "text").mapInArrow(anchors, "k bigint, id bigint, copy bigint, anchor bigint, shared boolean")
-             .select("id", "copy", "anchor", "shared", F.min("id").over(meeting).alias("lo"), F.max("id").over(meeting).alias("hi"))
-             .where("shared or lo < hi").groupBy("id", "copy").agg(F.collect_set("anchor").alias("anchors")))
+    found = (rows.select("id", "text").mapInArrow(anchors, "k bigint, id bigint, anchor bigint, shared boolean")
+             .select("id", F.coalesce("anchor", "k").alias("anchor"), "shared", F.min("id").over(meeting).alias("lo"), F.max("id").over(meeting).alias("hi"))
+             .where("shared or lo < hi").groupBy("id").agg(F.collect_set("anchor").alias("anchors")))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2):
@@ -163,10 +163,11 @@ def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
                      pa.ListArray.from_arrays(pa.array(np.r_[edge, len(done)].astype(np.int32)), pa.array(at[done].astype(np.int32))),
                      pa.array(np.ones(len(own_row), bool))], ["k", "id", "copy", "at", "hit"])
 
-    hits = (rows.join(found, ["id", "copy"]).select("id", "copy", "text", "anchors")
+    hits = (rows.join(found, "id").select("id", "copy", "text", "anchors")
             .mapInArrow(windows, "k bigint, id bigint, copy bigint, at array<int>, hit boolean")
             .select("id", "copy", "at", "hit", F.min("id").over(meeting).alias("lo"))
-            .where("hit or lo < id").groupBy("id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")))
+            .where("hit or lo < id").groupBy("id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+            .groupBy("id").agg(F.collect_list(F.struct("copy", "at")).alias("at")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
@@ -188,12 +189,15 @@ def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))), pa.array(left, pa.string())],
-                ["key", "n_words", "n_removed", "spans", "kept"])
+                ["id", "n_words", "n_removed", "spans", "kept"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return (rows.join(hits, ["id", "copy"], "left").select("key", "text", "at")
-            .mapInArrow(cut, f"key {kind}, n_words bigint, n_removed bigint, spans array<struct<first:int,words:int>>, kept string")
-            .withColumnRenamed("key", key))
+    # both joins read the texts by the same columns and key, so there is one exchange of them
+    return (rows.join(hits, "id", "left").select("id", "text", F.transform(F.filter("at", lambda x: x["copy"] == F.col("copy")), lambda x: x["at"])
+                                                 .alias("at"))
+            .select("id", "text", F.get("at", F.lit(0)).alias("at"))
+            .mapInArrow(cut, "id bigint, n_words bigint, n_removed bigint, spans array<struct<first:int,words:int>>, kept string")
+            .select(F.when(F.col("id") < _LAST, F.col("id")).cast(kind).alias(key), "n_words", "n_removed", "spans", "kept"))
 
 
 #: A window is compared as its text: words hold no blanks.
