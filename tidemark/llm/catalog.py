@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.llm.common import ORACLES, QUERIES
 
-for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing"):
+for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies"):
     importlib.import_module(f"tidemark.llm.{_m}")
 
 

@@ -17,6 +17,7 @@ with a null key are packed too; an empty table gives no rows; clashing columns r
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator
 
@@ -31,7 +32,13 @@ from tidemark.llm.common import kept, register, table
 
 SIZE = 4096
 #: Words whose ids a Python worker remembers, and characters of text it works on at once.
-REMEMBERED, AT_ONCE = 1 << 18, 8 << 20
+REMEMBERED, AT_ONCE = 1 << 20, 8 << 20
+
+
+@functools.cache
+def _words(path: str) -> _Words:
+    """One for each Python worker, which runs many tasks."""
+    return _Words(path)
 
 
 class _Words:
@@ -53,17 +60,26 @@ class _Words:
             self.forget()
         new = [w for w in words if w not in self.at]
         if new:
-            coded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            ids, lengths = [], []
+            for lo in range(0, len(new), 1000):  # a line of words at a time: a call for each costs more than its merges
+                part = new[lo:lo + 1000]
+                line = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
+                ids += line.ids
+                starts = np.cumsum([0, *(len(w) + 1 for w in part)])
+                at = np.fromiter((a for a, _ in line.offsets), np.int64, len(line.ids))
+                lengths.append(np.diff(np.searchsorted(at, starts)))
             for w in new:
                 self.at[w] = len(self.at)
-            self.ids = np.concatenate([self.ids, np.fromiter((i for c in coded for i in c), np.uint32)])
-            ends = self.starts[-1] + np.cumsum([len(c) for c in coded], dtype=np.int64)
-            self.starts = np.concatenate([self.starts, ends])
+            self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
         return np.fromiter((self.at[w] for w in words), np.int64, len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text ends."""
-        lists = pc.split_pattern_regex(texts.fill_null("").cast(pa.large_string()), "[ \t\r\n]+")
+        texts = texts.fill_null("").cast(pa.large_string())
+        for blank in "\t\r\n":
+            texts = pc.replace_substring(texts, blank, " ")
+        lists = pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = pc.dictionary_encode(lists.flatten())
         place = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
@@ -82,7 +98,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(path)
+        words = _words(path)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
             group = np.cumsum(lengths, dtype=np.int64) // AT_ONCE
