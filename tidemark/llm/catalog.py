@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import importlib
 
-from tidemark.llm.common import ORACLES, QUERIES
+import corpus_pipeline
+from tidemark.llm.common import ORACLES, QUERIES, register
 
-for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies"):
+for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies", "lines", "quotations"):
     importlib.import_module(f"tidemark.llm.{_m}")
 
 
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
