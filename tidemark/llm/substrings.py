@@ -123,11 +123,11 @@ def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
             anchor, row, shared, lowest = anchor[send], row[send], shared[send], lowest[send]
             k = np.where(lowest, anchor, anchor ^ (ids[row].astype(np.uint64) * _ODD[40]))
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[row]),
-                                              pa.array(anchor.view(np.int64), mask=lowest), pa.array(shared)], ["k", "id", "anchor", "shared"])
+                                              pa.array(anchor.view(np.int64), mask=~shared)], ["k", "id", "anchor"])
 
     meeting = Window.partitionBy("k")
-    found = (rows.select("id", "text").mapInArrow(anchors, "k bigint, id bigint, anchor bigint, shared boolean")
-             .select("id", F.coalesce("anchor", "k").alias("anchor"), "shared", F.min("id").over(meeting).alias("lo"), F.max("id").over(meeting).alias("hi"))
+    found = (rows.select("id", "text").mapInArrow(anchors, "k bigint, id bigint, anchor bigint")
+             .select("id", F.coalesce("anchor", "k").alias("anchor"), F.col("anchor").isNotNull().alias("shared"), F.min("id").over(meeting).alias("lo"), F.max("id").over(meeting).alias("hi"))
              .where("shared or lo < hi").groupBy("id").agg(F.collect_set("anchor").alias("anchors")))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,36 +137,36 @@ def factored(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
             wanted = np.flatnonzero(np.isin(anchor.view(np.int64), np.unique(b.column(3).flatten().to_numpy())))
             if not len(wanted):
                 continue
-            row, at, window = row[wanted], at[wanted], runs(hashes, size)[place[wanted]]
+            row, at, anchor, window = row[wanted], at[wanted], anchor[wanted], runs(hashes, size)[place[wanted]]
             order = np.lexsort((ids[row], window))
-            row, at, window = row[order], at[order], window[order]
-            lowest, _ = _settled(window, ids[row])
-            asks = np.flatnonzero(lowest)
-            # one row for each window and document that has to meet other batches
-            first = asks[np.r_[True, (window[asks][1:] != window[asks][:-1]) | (row[asks][1:] != row[asks][:-1])]] if len(asks) else asks
-            more = np.setdiff1d(asks, first, assume_unique=True)
-            ask = np.concatenate([first, more])
-            k = [window[ask].view(np.int64)]
-            own, place_of = [row[ask]], [at[ask]]
+            lowest = np.empty(len(order), bool)
+            lowest[order], _ = _settled(window[order], ids[row][order])
+            # windows that have to meet other batches, in runs of neighbours under one anchor
+            ask = np.flatnonzero(lowest)
+            edge = np.flatnonzero(np.r_[True, (np.diff(at[ask]) != 1) | (np.diff(row[ask]) != 0) | (np.diff(anchor[ask].view(np.int64)) != 0)])
+            own = ask[edge]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k[0]), pa.array(ids[own[0]]), pa.array(copies[own[0]]),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(ask) + 1, dtype=np.int32)), pa.array(place_of[0].astype(np.int32))),
-                 pa.array(np.zeros(len(ask), bool))], ["k", "id", "copy", "at", "hit"])
+                [pa.array(anchor[own].view(np.int64)), pa.array(ids[row[own]]), pa.array(copies[row[own]]), pa.array(at[own].astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(np.r_[edge, len(ask)].astype(np.int32)), pa.array(window[ask].view(np.int64))),
+                 pa.nulls(len(own), pa.list_(pa.int32()))], names)
             done = np.flatnonzero(~lowest)
-            done = done[np.lexsort((at[done], row[done]))]
             if len(done):
-                edge = np.flatnonzero(np.r_[True, row[done][1:] != row[done][:-1]])
-                own_row = row[done][edge]
-                k = (ids[own_row].astype(np.uint64) * _ODD[41] ^ copies[own_row].view(np.uint64)).view(np.int64)
+                edge = np.flatnonzero(np.r_[True, np.diff(row[done]) != 0])
+                own = row[done][edge]
+                k = ids[own].astype(np.uint64) * _ODD[41] ^ copies[own].view(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k), pa.array(ids[own_row]), pa.array(copies[own_row]),
-                     pa.ListArray.from_arrays(pa.array(np.r_[edge, len(done)].astype(np.int32)), pa.array(at[done].astype(np.int32))),
-                     pa.array(np.ones(len(own_row), bool))], ["k", "id", "copy", "at", "hit"])
+                    [pa.array(k.view(np.int64)), pa.array(ids[own]), pa.array(copies[own]), pa.array(np.zeros(len(own), np.int32)),
+                     pa.nulls(len(own), pa.list_(pa.int64())),
+                     pa.ListArray.from_arrays(pa.array(np.r_[edge, len(done)].astype(np.int32)), pa.array(at[done].astype(np.int32)))], names)
 
+    names = ["k", "id", "copy", "at", "windows", "done"]
+    equal = Window.partitionBy("k", "window")  # equal windows have equal anchors
     hits = (rows.join(found, "id").select("id", "copy", "text", "anchors")
-            .mapInArrow(windows, "k bigint, id bigint, copy bigint, at array<int>, hit boolean")
-            .select("id", "copy", "at", "hit", F.min("id").over(meeting).alias("lo"))
-            .where("hit or lo < id").groupBy("id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+            .mapInArrow(windows, "k bigint, id bigint, copy bigint, at int, windows array<bigint>, done array<int>").repartition("k")
+            .select("k", "id", "copy", "at", "done", F.posexplode_outer("windows").alias("place", "window"))
+            .select("id", "copy", "at", "place", "done", F.min("id").over(equal).alias("lo"))
+            .where("done is not null or lo < id")
+            .groupBy("id", "copy").agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("done", F.array(F.col("at") + F.col("place")))))).alias("at"))
             .groupBy("id").agg(F.collect_list(F.struct("copy", "at")).alias("at")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
