@@ -39,7 +39,10 @@ def test_drop_path_equals_model(spark, values, path):
 def test_drop_many_paths_and_bad_text(spark):
     out = jsonops.drop_paths("j", [["a"], ["b", "c"], ["b", "d", "e"]])
     assert json.loads(one(spark, out, "j string", '{"a":1,"b":{"c":2,"d":{"e":3,"f":1.50}},"g":[1]}')) == {"b": {"d": {"f": 1.5}}, "g": [1]}
-    assert one(spark, out, "j string", "not json") is None
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        one(spark, out, "j string", "not json")
+    assert one(spark, jsonops.is_json("j"), "j string", "not json") is False and one(spark, jsonops.is_json("j"), "j string", None) is None
+    assert json.loads(one(spark, out, "j string", '{"a":1,"g":1,"g":2}')) == {"g": 2}
     assert one(spark, out, "j string", None) is None
 
 
@@ -70,6 +73,8 @@ def test_token_inside_json_without_mail(spark):
     assert one(spark, expr, "j string", '{"a":{"b":null}}') == '{"a":{"b":null}}'
     assert one(spark, expr, "j string", None) is None
     assert "@" not in one(spark, expr, "j string", '{"a":{"b":"x@y"}}')
+    escaped = one(spark, expr, "j string", '{"a":{"b":"x\\u0040y.org"},"c":"xx@y.org.uk"}')
+    assert json.loads(escaped)["c"] == "xx@y.org.uk" and len(json.loads(escaped)["a"]["b"]) == 64
 
 
 def test_first_writer_of_a_token_wins(spark):

@@ -176,6 +176,25 @@ def pseudonymise_columns(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pseudonymise_columns(e, "email, body->a->b", PEPPER)
 
 
+@register("pseudonymise_json_escaped", f"""
+SELECT event_id, sha256('m' || user_id || '@y.org{PEPPER}') AS mail, 'xm' || user_id || '@y.org.uk' AS other FROM events""")
+def pseudonymise_json_escaped(spark: SparkSession, sf: str) -> DataFrame:
+    """An address written with an escape is found; another text that holds its letters is left."""
+    body = """concat('{"a":{"b":"m', user_id, '\\\\u0040y.org"},"c":"xm', user_id, '@y.org.uk"}')"""
+    e = table(spark, sf, "events").select("event_id", F.expr(body).alias("body"))
+    done = pii.pseudonymise_columns(e, "body->a->b", PEPPER)
+    return done.select("event_id", jsonops.text_at("body", "a", "b").alias("mail"), jsonops.text_at("body", "c").alias("other"))
+
+
+@register("json_repeated_keys", "SELECT event_id, CAST(event_id AS VARCHAR) AS b, user_id::VARCHAR AS a FROM events")
+def json_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a repeated key the last value stays; the text is not lost."""
+    spark.conf.set(jsonops.REPEATED_KEYS, "true")
+    body = F.expr("""concat('{"a":1,"ip":2,"a":', user_id, ',"b":', event_id, '}')""")
+    kept = table(spark, sf, "events").select("event_id", jsonops.drop_keys(body, "ip").alias("body"))
+    return kept.select("event_id", jsonops.text_at("body", "b").alias("b"), jsonops.text_at("body", "a").alias("a"))
+
+
 @register("token_map", f"""
 WITH mails AS (SELECT DISTINCT 'u' || user_id || '@x.org' AS email FROM events)
 SELECT email, sha256(email || '{PEPPER}') AS token FROM mails WHERE CAST(substr(email, 2, strpos(email, '@') - 2) AS BIGINT) % 3 <> 0""")

@@ -62,6 +62,28 @@ def sync_truncate_insert(spark: SparkSession, sf: str) -> DataFrame:
     return run_sync(SyncRule("public", "partners", load_method="truncate-insert"), s, s.filter("s_acctbal < 0"), NOW)
 
 
+@register("sync_truncate_with_cap", f"""
+WITH {_SYNC_SOURCE} SELECT id, status, price, sha256(email || 'pepper') AS email, updated_at FROM source WHERE status <> 'P'""")
+def sync_truncate_with_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """A full replacement takes the whole source, whatever order field and cap the rule has."""
+    source, target = _sync_tables(spark, sf)
+    rule = _MERGE_RULE.with_(load_method="truncate-insert", batch_max_rows=100, sql_condition="AND status <> 'P'")
+    return run_sync(rule, source, target, NOW, "pepper")
+
+
+@register("sync_with_projection", f"""
+WITH {_SYNC_SOURCE} SELECT id, 'O**' AS status, sha256(email || 'pepper') AS email, '{{"price":' || id || '}}' AS body, TIMESTAMP '1995-01-01'::DATE AS born
+FROM source WHERE updated_at > TIMESTAMP '1970-01-01'""")
+def sync_with_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule's own SELECT masks, drops and leaves out columns before anything is loaded."""
+    source, _ = _sync_tables(spark, sf)
+    sql = """SELECT id, mask_text('Oxy', 1) AS status, email, json_drop(concat('{"ip":"1.2.3.4","price":', id, '}'), array('ip')) AS body,
+             mask_date('1995-07-09') AS born, updated_at FROM {source}"""
+    rule = SyncRule("public", "orders", load_method="merge", order_field="updated_at", key_field="id", columns_to_hash="email", sql=sql)
+    target = spark.createDataFrame([], "id long, status string, email string, body string, born date, updated_at timestamp_ntz")
+    return run_sync(rule, source, target, NOW, "pepper").drop("updated_at")
+
+
 @register("change_log_pull", """
 WITH source AS (SELECT 'c' || c_custkey AS "Id", c_name || '!' AS name, 1600000000000 + c_custkey * 1000 AS modified FROM customer),
 loaded AS (SELECT 'c' || c_custkey AS "Id", c_name AS name, 1600000000000 + c_custkey * 1000 - c_custkey % 2 * 5000000 AS modified FROM customer WHERE c_acctbal > 5000),

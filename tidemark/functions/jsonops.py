@@ -12,6 +12,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Session setting that lets the last of several equal keys win instead of raising.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -35,6 +39,12 @@ def present(c: Column | str, *path: str | int) -> Column:
     return text_at(c, *path).isNotNull()
 
 
+def is_json(c: Column | str) -> Column:
+    """Whether a text can be edited; NULL for NULL."""
+    text = _col(c)
+    return F.when(text.isNotNull(), F.try_parse_json(text).isNotNull())
+
+
 def is_json_null(c: Column | str, *path: str | int) -> Column:
     """True if the path holds JSON null, false if it holds a value, NULL if missing."""
     v = F.try_variant_get(F.try_parse_json(_col(c)), _steps(path), "variant")
@@ -49,8 +59,13 @@ _Edit = Callable[[Column], Column]
 
 
 def _edited(c: Column | str, *edits: _Edit) -> Column:
-    """Apply edits to a JSON text.  Text that is no JSON gives NULL, so nothing leaks."""
-    cell = F.array(F.try_parse_json(_col(c)))
+    """Apply edits to a JSON text.
+
+    Text that is no JSON raises: it can neither be edited nor pass, and a NULL would lose it.
+    Route such rows elsewhere first with ``is_json``.  Of a repeated key the last value counts,
+    for which the session needs ``REPEATED_KEYS`` on (``session.SETTINGS`` has it); without it such a text raises.
+    """
+    cell = F.array(F.parse_json(_col(c)))
     for edit in edits:
         cell = F.transform(cell, edit)
     return F.to_json(F.get(cell, F.lit(0)))

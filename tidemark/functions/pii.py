@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsonops import text_at
+from tidemark.functions.jsonops import edit, text_at
 
 # Fixed value: what counts as an e-mail address.
 EMAIL_PATTERN = r"^\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\b$"
@@ -37,10 +37,15 @@ def pseudonymise(c: Column | str, pepper: str, salt: str = "") -> Column:
 
 
 def pseudonymise_in_json(c: Column | str, path: Sequence[str], pepper: str, salt: str = "") -> Column:
-    """Replace the address found at a JSON path by its token, everywhere in that text."""
+    """Replace the address found at a JSON path by its token, at that path only.
+
+    The value is read and put back as JSON, so it may be written with escapes; other
+    texts that happen to hold the same letters stay as they are.
+    """
     text = _col(c)
     mail = text_at(text, *path)
-    return F.when(mail.contains("@"), F.replace(text, mail, email_token(mail, pepper, salt))).otherwise(text)
+    quoted = F.concat(F.lit('"'), email_token(mail, pepper, salt), F.lit('"'))
+    return F.when(mail.contains("@"), edit(text, put={tuple(path): quoted})).otherwise(text)
 
 
 def pseudonymise_columns(df: DataFrame, columns: str | Sequence[str], pepper: str, salt: str = "") -> DataFrame:

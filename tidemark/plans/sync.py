@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, fields, replace
 from datetime import datetime
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.pii import pseudonymise_columns
+from tidemark.functions.sqlnames import register_functions
 from tidemark.functions.temporal import ntz
 from tidemark.operators import loads
 from tidemark.operators.latest import latest_per_key
@@ -75,12 +77,42 @@ def start_of_batch(rule: SyncRule, target: DataFrame, now: object) -> object:
 
 
 def next_batch(rule: SyncRule, source: DataFrame, target: DataFrame, now: object, pepper: str = "", salt: str = "") -> DataFrame:
-    """The rows to load: past the watermark, within the cap, personal columns treated."""
-    batch = incremental_extract(source, rule.order_field, start_of_batch(rule, target, now), rule.batch_max_rows,
-                                _condition(rule), rule.volume)
+    """The rows to load: past the watermark, within the cap, projected, personal columns treated.
+
+    A truncate-insert replaces the table, so its batch is the whole source: only the extra
+    predicate holds for it.
+    """
+    if rule.columns_to_hash and not pepper:
+        raise ValueError(f"{rule.target}: columns are to be hashed, so a pepper is needed")
+    if rule.load_method == "truncate-insert":
+        batch = incremental_extract(source, None, condition=_condition(rule))
+    else:
+        batch = incremental_extract(source, rule.order_field, start_of_batch(rule, target, now), rule.batch_max_rows,
+                                    _condition(rule), rule.volume)
+    batch = projected(rule, batch)
     return pseudonymise_columns(batch, rule.columns_to_hash, pepper, salt) if rule.columns_to_hash else batch
 
 
+def projected(rule: SyncRule, batch: DataFrame) -> DataFrame:
+    """The rule's own SELECT over the batch, if it has one.
+
+    ``rule.sql`` is Spark SQL that reads from ``{source}`` and may call the functions of
+    ``functions.sqlnames``.  Other tables and unknown functions raise, so that a
+    mask that is not understood never lets a column pass.
+    """
+    if not rule.sql:
+        return batch
+    if "{source}" not in rule.sql:
+        raise ValueError(f"{rule.target}: the rule's SQL has to read from {{source}}")
+    spark, view = batch.sparkSession, f"sync_source_{uuid.uuid4().hex}"
+    register_functions(spark)
+    batch.createOrReplaceTempView(view)
+    try:
+        return spark.sql(rule.sql.replace("{source}", view))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def run_sync(rule: SyncRule, source: DataFrame, target: DataFrame, now: object, pepper: str = "", salt: str = "") -> DataFrame:
     """The target after one run of the rule.
 

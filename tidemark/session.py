@@ -14,6 +14,7 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

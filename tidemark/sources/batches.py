@@ -105,8 +105,9 @@ def incremental_extract(df: DataFrame, order_field: str | None, watermark: objec
 
     Without an order field the whole source is the batch.  ``volume='high'`` on a time
     field also leaves out the minute still being written: it keeps rows before the
-    start of the minute of the N-th row, less one minute.  If that leaves nothing, the
-    ordinary cut is used so that the feed always moves on.
+    start of the minute of the N-th row, less one minute.  If that leaves nothing although
+    there are more than N rows, the ordinary cut is used so that the feed moves on; a
+    feed whose few rows all lie in the open minutes waits.
     """
     if condition:
         df = df.filter(F.expr(condition))
@@ -122,7 +123,7 @@ def incremental_extract(df: DataFrame, order_field: str | None, watermark: objec
         minute = F.date_trunc("minute", nth) if isinstance(df.schema[order_field].dataType, T.TimestampType) \
             else trunc_ntz("minute", nth)
         closed = fresh.filter(F.col(order_field) < minute - F.expr("interval 1 minute"))
-        if not closed.isEmpty():
+        if cut is None or not closed.isEmpty():
             return closed
     return _until(fresh, order_field, cut)
 
