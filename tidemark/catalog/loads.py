@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +15,10 @@ from tidemark.functions.text import split_pair
 from tidemark.operators import loads
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.running import ordered_listing
+from tidemark.session import shared_folder
+from tidemark.sinks import tables
 from tidemark.sinks.exports import csv_record, json_record
-from tidemark.sources import batches
+from tidemark.sources import batches, files
 from tidemark.sources.tables import read_table
 from tidemark.sources.ticks import flatten_ticks
 
@@ -354,7 +358,9 @@ def rebuild_trailing(spark: SparkSession, sf: str) -> DataFrame:
 @register("stage_reload", "SELECT event_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20'")
 def stage_reload(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    staged = loads.truncate_insert(e.drop("ts"), e.filter(F.col("ts") > ntz("2024-01-20")))
+    folder = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    for part in ("ts <= timestamp_ntz'2024-01-20'", "ts > timestamp_ntz'2024-01-20'"):  # the second load empties the stage first
+        staged = tables.stage(loads.truncate_insert(e.drop("ts"), e.filter(part)), folder)
     return staged
 
 
@@ -370,6 +376,110 @@ def dedupe_recent(spark: SparkSession, sf: str) -> DataFrame:
                                ["source_file"]).select("event_id", "value", "dw_created_at", "source_file")
 
 
+# --- tables written by partition and read back ------------------------------------------
+
+def _by_day(spark: SparkSession, rows: DataFrame, at: str) -> str:
+    """A new table in the shared folder, partitioned by the day of ``at``."""
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    rows.withColumn("day", F.to_date(at)).write.partitionBy("day").parquet(path)
+    return path
+
+
+@register("overwrite_window_partitions", """
+SELECT event_id, ts, value FROM events
+WHERE NOT (ts > TIMESTAMP '2024-01-10 06:00:00' AND ts <= TIMESTAMP '2024-01-12')
+UNION ALL
+SELECT event_id, ts, value * 2 FROM events
+WHERE ts > TIMESTAMP '2024-01-10 06:00:00' AND ts <= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-11' AND event_id % 2 = 0""")
+def overwrite_window_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """A window in which one day loses all its rows."""
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    path = _by_day(spark, e, "ts")
+    again = e.filter("event_id % 2 = 0 and ts < timestamp_ntz'2024-01-11'").withColumn("value", F.col("value") * 2)
+    tables.overwrite_window_partitions(path, again, "ts", "2024-01-10 06:00:00", "2024-01-12 00:00:00")
+    return spark.read.parquet(path).select("event_id", "ts", "value")
+
+
+@register("rebuild_partitions", """
+SELECT event_id, ts, value FROM events WHERE ts <= TIMESTAMP '2024-01-21'
+UNION ALL SELECT event_id, ts, value + 1 FROM events WHERE ts > TIMESTAMP '2024-01-21'""")
+def rebuild_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    path = _by_day(spark, e, "ts")
+    tables.rebuild_partitions(path, e.withColumn("value", F.col("value") + 1), "ts", "2024-01-31 00:00:00", 10)
+    return spark.read.parquet(path).select("event_id", "ts", "value")
+
+
+@register("merge_partitions", """
+SELECT event_id, ts, CASE WHEN ts >= TIMESTAMP '2024-01-20' AND event_id % 2 = 0 THEN value + 5 ELSE value END AS value FROM events
+WHERE event_id % 3 <> 0 OR ts >= TIMESTAMP '2024-01-20' AND event_id % 2 = 0""")
+def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    path = _by_day(spark, e.filter("event_id % 3 <> 0"), "ts")
+    batch = e.filter("ts >= timestamp_ntz'2024-01-20' and event_id % 2 = 0").select(
+        "event_id", "ts", (F.col("value") + 5).alias("value"), F.to_date("ts").alias("day"))
+    tables.merge_partitions(path, batch, "event_id", "day")
+    return spark.read.parquet(path).select("event_id", "ts", "value")
+
+
+@register("dedupe_partitions", f"""
+WITH {DUPLICATED}
+SELECT event_id, value, source_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY dw_created_at DESC, source_file DESC) AS rn
+  FROM loaded WHERE dw_created_at >= TIMESTAMP '2024-01-20' AND dw_created_at < TIMESTAMP '2024-01-23') WHERE rn = 1
+UNION ALL
+SELECT event_id, value, source_file FROM loaded WHERE dw_created_at < TIMESTAMP '2024-01-20' OR dw_created_at >= TIMESTAMP '2024-01-23'""")
+def dedupe_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    path = _by_day(spark, loaded_events(spark, sf), "dw_created_at")
+    tables.dedupe_partitions(path, "event_id", "dw_created_at", "2024-01-20", "2024-01-22", ["source_file"])
+    return spark.read.parquet(path).select("event_id", "value", "source_file")
+
+
+# --- files ------------------------------------------------------------------------------
+
+@register("dated_event_files", """
+SELECT event_id, value, TIMESTAMP '2024-01-12 05:00:00' AS dw_created_at FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-13'""")
+def dated_event_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Yesterday's and today's event files by their dated prefixes; a day without any gives no rows."""
+    root = f"{shared_folder(spark)}/feed-{uuid.uuid4().hex}"
+    e = table(spark, sf, "events").select("event_id", "value", "ts", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m"),
+                                          F.date_format("ts", "dd").alias("d"))
+    for day in ("2024-01-10", "2024-01-11", "2024-01-12"):
+        e.filter(F.to_date("ts") == F.lit(day).cast("date")).select("event_id", "value").write.parquet(f"{root}/{day.replace('-', '/')}")
+    read = lambda days: files.load_events(spark, root, days, schema="event_id long, value double", loaded_at="2024-01-12 05:00:00")
+    got = read(files.dated_prefixes(date(2024, 1, 12))).unionByName(read(["2031/01/01"]))
+    return got.select("event_id", "value", "dw_created_at")
+
+
+@register("renamed_csv", "SELECT n_nationkey::VARCHAR AS key, n_name AS full_name, '2022-01-18 10:11:12.123' AS at FROM nation")
+def renamed_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A UTF-16 file with header, written and read with other names."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("Key"), F.col("n_name").alias("FullName"), F.lit("2022-01-18 10:11:12.123456").alias("At"))
+    n.coalesce(1).write.option("header", "true").option("encoding", "UTF-16LE").option("lineSep", "\n").csv(folder)
+    return files.read_renamed_csv(spark, folder, {"Key": "key", "FullName": "full_name", "At": "at"}, trim_times=["at"])
+
+
+@register("csv_folder_appended", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def csv_folder_appended(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    table(spark, sf, "supplier").select("s_suppkey", "s_name").write.option("header", "true").csv(f"{folder}/in")
+    for _ in range(2):
+        files.append_csv_folder(spark, f"{folder}/in", f"{folder}/table", "s_suppkey long, s_name string")
+    return spark.read.parquet(f"{folder}/table")
+
+
+@register("unknown_method_raises", "SELECT count(*) AS rows, 'load_method is not recognized: upsert' AS said FROM region")
+def unknown_method_raises(spark: SparkSession, sf: str) -> DataFrame:
+    r = table(spark, sf, "region")
+    try:
+        loads.load("upsert", r, r, "r_regionkey")
+        said = "nothing"
+    except ValueError as e:
+        said = str(e)
+    return r.agg(F.count(F.lit(1)).alias("rows"), F.lit(said).alias("said"))
+
+
 # --- record exports -------------------------------------------------------------------
 
 @register("tab_separated_rows", """

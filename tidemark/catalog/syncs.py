@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.loads import NOW
 from tidemark.catalog.registry import register, table
-from tidemark.plans.sync import SyncRule, latest_run_status, pull_changes, run_sync
+from tidemark.plans.sync import SyncRule, latest_run_status, pull_changes, run_sync, sync_table
 from tidemark.session import shared_folder
 from tidemark.streaming.ingest import event_stream, first_copies, ingest
 
@@ -120,15 +120,33 @@ def run_status(spark: SparkSession, sf: str) -> DataFrame:
 def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events through a file stream in which each fifth event comes twice.
 
-    Written below the cluster's shared folder; only a local session without one gets its own.
+    Written below the application's shared folder.
     """
     shape = table(spark, sf, "events").schema
     copies = F.sequence(F.lit(1), F.when(F.col("event_id") % 5 == 0, 2).otherwise(1))
     name = F.element_at(F.split("source_file", "/"), -1).alias("file_name")
     columns = ["event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value"]
-    folder = shared_folder(spark) or tempfile.mkdtemp(prefix="tidemark-")
-    run = f"{folder.rstrip('/')}/tidemark/stream-{uuid.uuid4().hex}"
+    run = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     doubled = event_stream(spark, sf, shape, "events.parquet").withColumn("copy", F.explode(copies)).drop("copy")
     query = ingest(first_copies(doubled), f"{run}/table", f"{run}/state")
     query.awaitTermination()
     return spark.read.parquet(f"{run}/table").select(*columns, name)
+
+
+# --- written tables --------------------------------------------------------------------
+
+@register("sync_table_written", f"""
+WITH {_SYNC_SOURCE}, t2 AS (SELECT id, status, price, email, updated_at FROM target),
+b AS (SELECT id, status, price, sha256(email || 'pepper') AS email, updated_at FROM source WHERE updated_at > (SELECT max(updated_at) - INTERVAL 1 HOUR FROM target))
+SELECT coalesce(b.id, t.id) AS id, CASE WHEN b.id IS NULL THEN t.price ELSE b.price END AS price, CASE WHEN b.id IS NULL THEN t.email ELSE b.email END AS email,
+  'STARTED,COMPLETED' AS log FROM t2 t FULL JOIN b ON b.id = t.id""")
+def sync_table_written(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge rule run on a partitioned table in the shared folder, and its log."""
+    source, target = _sync_tables(spark, sf)
+    month = F.date_format("updated_at", "yyyy-MM").alias("month")
+    folder = f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"
+    target.select("*", month).write.partitionBy("month").parquet(f"{folder}/table")
+    rule = _MERGE_RULE.with_(batch_max_rows=None)
+    sync_table(rule, source.select("*", month), f"{folder}/table", f"{folder}/log", "month", datetime(2024, 1, 31), "pepper")
+    states = spark.read.parquet(f"{folder}/log").agg(F.array_join(F.sort_array(F.collect_list("status"), asc=False), ",")).first()[0]
+    return spark.read.parquet(f"{folder}/table").select("id", "price", "email", F.lit(states).alias("log"))

@@ -16,7 +16,7 @@ from tidemark.functions.sqlnames import register_functions
 from tidemark.functions.temporal import ntz
 from tidemark.operators import loads
 from tidemark.operators.latest import latest_per_key
-from tidemark.sinks.tables import parked
+from tidemark.sinks.tables import merge_partitions, parked, partition_values, publish_partitions
 from tidemark.sources.batches import incremental_extract
 
 
@@ -137,6 +137,48 @@ def rows_to_append(rule: SyncRule, source: DataFrame, target: DataFrame, now: ob
     return loads.new_rows(target, batch, rule.key_field, newest_by=newest_by)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def sync_table(rule: SyncRule, source: DataFrame, path: str, log_path: str, partition: str, now: datetime, pepper: str = "",
+               salt: str = "") -> int:
+    """One run of a rule on a Parquet table partitioned by ``partition``, with its run log.
+
+    Insert-only appends, merge rewrites the batch's partitions, truncate-insert puts all
+    partitions in place and removes those without rows.  The log gets STARTED and then COMPLETED or FAILED.
+    Returns the number of rows loaded.
+    """
+    spark = source.sparkSession
+
+    def log(status: str, **more) -> None:
+        log_entry(spark, rule, status, now, **more).write.mode("append").parquet(log_path)
+
+    log("STARTED")
+    try:
+        if rule.load_method not in loads.LOAD_METHODS:
+            raise ValueError(f"load_method is not recognized: {rule.load_method}")
+        there = _exists(spark, path)
+        target = spark.read.parquet(path) if there else projected(rule, source.limit(0))
+        newest_by = [rule.order_field] if rule.order_field else None
+        batch = parked(next_batch(rule, source, target, now, pepper, salt))
+        if rule.load_method == "truncate-insert":
+            old = partition_values(target, partition) if there else []
+            publish_partitions(path, batch, partition, list({*old, *partition_values(batch, partition)}))
+        elif rule.load_method == "merge" and there:
+            merge_partitions(path, batch, rule.key_field, partition, newest_by)
+        else:
+            fresh = parked(loads.new_rows(target, batch, rule.key_field, newest_by=newest_by))
+            fresh.write.mode("append").partitionBy(partition).parquet(path)
+        count = batch.count()
+    except Exception as e:
+        log("FAILED", error=str(e)[:1000])
+        raise
+    log("COMPLETED", records=count)
+    return count
+
+
 # --- run log --------------------------------------------------------------------------
 
 LOG_SCHEMA = ("connection_id string, schema_name string, table_name string, dag_name string, filename_key string, "

@@ -19,7 +19,7 @@ SETTINGS: dict[str, str] = {
 
 
 def local_session(cores: str | int = 8, app: str = "tidemark", shuffle_partitions: int = 8,
-                  memory: str = "8g") -> SparkSession:
+                  memory: str = "8g", folder: str | None = None) -> SparkSession:
     """A local session for tests and measurements; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,6 +28,8 @@ def local_session(cores: str | int = 8, app: str = "tidemark", shuffle_partition
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -35,6 +37,17 @@ def local_session(cores: str | int = 8, app: str = "tidemark", shuffle_partition
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, as the cluster names it; None if unset."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """A folder every executor can reach, for this application's intermediate tables.
+
+    Below ``spark.checkpoint.dir``; a session without that setting gets one below its warehouse,
+    which drivers and executors share as well.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def forget_intermediates(spark: SparkSession) -> None:
+    """Delete what this application has put aside; no DataFrame that reads it may be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

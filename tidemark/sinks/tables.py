@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import loads
 from tidemark.session import shared_folder
@@ -48,29 +49,88 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
 def parked(df: DataFrame) -> DataFrame:
     """A small intermediate result that many joins use, computed once.
 
-    Written as Parquet to the cluster's shared folder (``spark.checkpoint.dir``), so it
-    outlives lost executors and its true size is known when the joins are planned.
-    Without such a folder the DataFrame is given back as it is.
+    Written as Parquet to the application's shared folder, so it outlives lost executors
+    and its true size is known when the joins are planned.  ``session.forget_intermediates``
+    removes all of them.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    return stage(df, f"{folder.rstrip('/')}/tidemark/{uuid.uuid4().hex}")
+    return stage(df, f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}")
+
+
+#: More partitions than this are not changed by one load.
+MOST_PARTITIONS = 10_000
+
+
+def partition_values(df: DataFrame, partition: str) -> list:
+    """The partitions a batch touches; raises beyond ``MOST_PARTITIONS``."""
+    values = [r[0] for r in df.select(partition).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS:
+        raise ValueError(f"a batch touches more than {MOST_PARTITIONS} partitions: reload the table instead")
+    return values
+
+
+def of_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """The rows of some partitions, by a constant filter that prunes the files."""
+    known, none = [v for v in values if v is not None], None in values
+    keep = F.col(partition).isin(known) if known else F.lit(False)
+    return table.filter(keep | F.col(partition).isNull() if none else keep)
+
+
+def publish_partitions(path: str, rows: DataFrame, partition: str, touched: Sequence) -> None:
+    """Put ``rows`` in place of the touched partitions; one that has no rows left is removed.
+
+    The rows are complete in the shared folder before the first old file goes.
+    """
+    spark = rows.sparkSession
+    rows = parked(rows)
+    left = set(partition_values(rows, partition))
+    if stray := left - set(touched):
+        raise ValueError(f"rows belong to other partitions: {sorted(map(str, stray))[:5]}")
+    overwrite_partitions(rows, path, partition)
+    for value in set(touched) - left:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}")
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def merge_partitions(path: str, batch: DataFrame, key: str | Sequence[str], partition: str,
                      newest_by: Sequence[str] | None = None) -> None:
     """Upsert a batch into a partitioned Parquet table, touching only its own partitions.
 
-    For keys that never change partition (a payment and its day).  The partitions of
-    the table are pruned to those of the batch while the plan runs, and the result is
-    parked before it replaces them, as it was read from there.
+    For keys that never change partition (a payment and its day).
     """
-    spark = batch.sparkSession
     batch = parked(batch)
-    table = spark.read.parquet(path)
-    touched = table.join(batch.select(partition).distinct(), partition, "left_semi").select(*table.columns)
-    merged = loads.merge(touched, batch, key, newest_by=newest_by)
-    if shared_folder(spark) is None:
-        raise RuntimeError("set spark.checkpoint.dir: the result has to be kept somewhere before it replaces its source")
-    overwrite_partitions(parked(merged), path, partition)
+    touched = partition_values(batch, partition)
+    table = of_partitions(batch.sparkSession.read.parquet(path), partition, touched)
+    publish_partitions(path, loads.merge(table, batch, key, newest_by=newest_by), partition, touched)
+
+
+def _days(spark: SparkSession, first: object, last: object) -> list:
+    return [r[0] for r in spark.sql(f"SELECT explode(sequence(DATE'{str(first)[:10]}', DATE'{str(last)[:10]}')) AS d").collect()]
+
+
+def overwrite_window_partitions(path: str, source: DataFrame, ts: str, start: object, end: object, day: str = "day") -> None:
+    """``loads.overwrite_window`` for a table partitioned by the day of ``ts``."""
+    spark = source.sparkSession
+    days = _days(spark, start, end)
+    table = of_partitions(spark.read.parquet(path), day, days)
+    fresh = source.filter(loads.in_window(ts, start, end)).withColumn(day, F.to_date(ts))
+    publish_partitions(path, loads.overwrite_window(table, fresh.select(*table.columns), ts, start, end), day, days)
+
+
+def rebuild_partitions(path: str, source: DataFrame, ts: str, today: object, days: int, day: str = "day") -> None:
+    """``loads.rebuild_trailing`` for a table partitioned by the day of ``ts``: later partitions are pruned to."""
+    spark = source.sparkSession
+    since = spark.sql(f"SELECT CAST('{today}' AS TIMESTAMP_NTZ) - INTERVAL {int(days)} DAY").first()[0]
+    table = spark.read.parquet(path).filter(F.col(day) >= F.lit(since.date()))
+    fresh = source.filter(F.col(ts) > F.lit(since)).withColumn(day, F.to_date(ts))
+    rows = parked(loads.rebuild_trailing(table, fresh.select(*table.columns), ts, today, days))
+    publish_partitions(path, rows, day, list({*partition_values(table, day), *partition_values(rows, day)}))
+
+
+def dedupe_partitions(path: str, key: str, loaded_at: str, first: object, last: object, tie_break: Sequence[str] = (),
+                      day: str = "day") -> None:
+    """One copy per key among the rows loaded on some days, in a table partitioned by the day of loading."""
+    spark = SparkSession.getActiveSession()
+    days = _days(spark, first, last)
+    table = of_partitions(spark.read.parquet(path), day, days)
+    publish_partitions(path, loads.dedupe_recent(table, key, loaded_at, first, tie_break), day, partition_values(table, day))

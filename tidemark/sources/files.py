@@ -23,17 +23,28 @@ def with_origin(df: DataFrame, loaded_at: object = None) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), now.alias("dw_created_at"))
 
 
+def with_origin_of_none(spark: SparkSession, schema: T.StructType | str, loaded_at: object = None) -> DataFrame:
+    """No rows, with the columns that ``with_origin`` gives."""
+    now = F.current_timestamp() if loaded_at is None else F.lit(str(loaded_at)).cast("timestamp_ntz")
+    return spark.createDataFrame([], schema).select("*", F.lit(None).cast("string").alias("source_file"), now.alias("dw_created_at"))
+
+
 def load_events(spark: SparkSession, root: str, days: Sequence[str], pattern: str = ".*",
                 schema: T.StructType | str | None = None, loaded_at: object = None) -> DataFrame:
     """Event files of some days whose path matches a regular expression.
 
-    Only the named prefixes are listed.  A day without files is no error as long as
-    one day has some.
+    Only the named prefixes are listed.  Days without files give no rows; if there is none at
+    all, the schema has to be given.
     """
+    root = root.rstrip("/")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    days = [d for d in days if (p := hadoop.Path(f"{root}/{d}")).getFileSystem(conf).exists(p)]
+    if not days and schema is not None:
+        return with_origin_of_none(spark, schema, loaded_at)
     reader = spark.read.option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    raw = reader.parquet(f"{root.rstrip('/')}/{{{','.join(days)}}}")
+    raw = reader.parquet(*[f"{root}/{d}" for d in days])
     return with_origin(raw, loaded_at).filter(F.col("source_file").rlike(pattern))
 
 
