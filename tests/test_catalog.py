@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 import check
 from tests.conftest import SMALL
+from tidemark.catalog import registry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+#: The queries of the warehouse part; the corpus operators have tests of their own.
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

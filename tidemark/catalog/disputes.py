@@ -85,13 +85,13 @@ def _identity_ctes(verified: str) -> str:
     return f"""{_CASES},
 dec AS (SELECT payment_id, {_V}'buyer_email_name_match_level' AS e1, {_V}'buyer_ekata_email_name_match' AS e2, {_V}'buyer_ekata_name_phone_match' AS ph,
   {_V}'name_on_card_to_name_in_poid_valid_for_current_payment_match' AS inst, ({_V}'user_has_approved_kyc_from_broker') = 'true' AS kyc,
-  ({_V}'user_verified_by_selfie') = 'true' AS selfie FROM decisions d WHERE application_name = 'Bender_Auto_Decide'),
+  ({_V}'user_verified_by_selfie') = 'true' AS selfie FROM decisions d WHERE application_name = 'decision-engine'),
 ipf AS (SELECT r.payment_ref AS payment_id, (e.data->'billing_address'->>'distance_to_ip_location')::DOUBLE AS far, (e.data->'ip_address'->'location'->>'accuracy_radius')::DOUBLE AS acc,
   (e.data->'ip_address'->>'risk')::DOUBLE AS risk FROM r_payments r JOIN maxmind_triggers m ON m.r_payment_id = r.id JOIN enrich_maxmind e ON e.id = m.enrich_maxmind_id),
 tag AS (SELECT DISTINCT ON (r.payment_ref) r.payment_ref AS payment_id, contains(lower(tags), 'fraud ring') AS ring FROM r_payment_tags g JOIN r_payments r ON g.r_payment_id = r.id
   ORDER BY r.payment_ref, g.inserted_at DESC),
 avs AS (SELECT payment_id, {_avs('r')} AS avs FROM proc_requests r WHERE tx_type = 'authorization'),
-f AS (SELECT idc.payment_id, left(arn, 1) AS dg, coalesce(pa.full_name = '{codes.US_BROKER}' AND left(arn, 1) = '7', false) AS us, pa.full_name, e1, e2, ph, inst,
+f AS (SELECT idc.payment_id, left(arn, 1) AS dg, coalesce(pa.full_name = '{codes.EXAMPLE.us_broker}' AND left(arn, 1) = '7', false) AS us, pa.full_name, e1, e2, ph, inst,
     coalesce(kyc, false) AS kyc, coalesce(selfie, false) AS selfie, far, acc, risk, coalesce(ring, false) AS ring, days, avs, hist.n, hist.m, whist.n AS wn, whist.m AS wm,
     coalesce(lower(card_name) = lower(account_name), false)
       OR coalesce(left(lower(first_name), 1) = left(lower(first_name_card), 1) AND lower(last_name) = lower(last_name_card), false)
@@ -261,20 +261,20 @@ base AS (SELECT DISTINCT c.payment_id AS pid, c.posted_at::DATE AS posted_on, c.
   LEFT JOIN by_day ON by_day.cc_identifier = p.cc_identifier AND by_day.posted_on = c.posted_at::DATE
   LEFT JOIN user_browser_events u ON u.payment_id = p.id
   WHERE c.status = '1st_chargeback' AND c.reason_code <> '2700' AND p.status IN ({_list(codes.APPROVED_STATUSES)})
-    AND p.id IN (SELECT payment_id FROM payment_events_log WHERE name IN ('payment_execution', 'payment_approved') AND partner_id IN ({_list(codes.EXECUTING_PARTNERS)}))),
+    AND p.id IN (SELECT payment_id FROM payment_events_log WHERE name IN ('payment_execution', 'payment_approved') AND partner_id IN ({_list(codes.EXAMPLE.executing_partners)}))),
 out AS (SELECT pid, rc, base.currency, raw, bin,
   CASE WHEN kind = 'fraud' AND rc IN ('11.3', '4808') THEN 'Turnkey Service Level' WHEN kind = 'fraud' THEN 'Fraud' WHEN kind = 'service_level' THEN 'Turnkey Service Level' ELSE 'Error' END AS template,
   CASE WHEN proc = 'ecp' AND left(bin, 1) IN ('4', '5', '6') THEN posted_on + 8 WHEN proc = 'paysafe' THEN posted_on + 7 WHEN proc = 'safecharge' THEN posted_on + 5 END AS fight,
   CASE WHEN proc = 'ecp' AND left(bin, 1) = '4' THEN posted_on + 21 WHEN proc = 'ecp' AND left(bin, 1) = '5' THEN posted_on + 30 WHEN proc = 'paysafe' THEN posted_on + 15
-    WHEN proc = 'safecharge' AND pay_to_partner_id = 419 THEN posted_on + 10 WHEN proc = 'safecharge' THEN posted_on + 14 END AS ab_fight,
-  replace({_arn('raw')}, '''', '') AS arn, cc_identifier, analyst, sub, CASE WHEN pay_to_partner_id IN ({_list(codes.TOP_UP_PARTNERS)}) THEN 'Top-Up' ELSE crypto_currency END AS coin, payee, phone,
-  pay_to_partner_id, CASE WHEN cavv3 IS NOT NULL AND ((payee <> '{codes.US_BROKER}' AND eci3 IN ({_SHIFT})) OR (payee = '{codes.US_BROKER}' AND zero IN ({_SHIFT}))) THEN 'Yes' ELSE 'No' END AS threeds,
+    WHEN proc = 'safecharge' AND pay_to_partner_id = 40 THEN posted_on + 10 WHEN proc = 'safecharge' THEN posted_on + 14 END AS ab_fight,
+  replace({_arn('raw')}, '''', '') AS arn, cc_identifier, analyst, sub, CASE WHEN pay_to_partner_id IN ({_list(codes.EXAMPLE.top_up_partners)}) THEN 'Top-Up' ELSE crypto_currency END AS coin, payee, phone,
+  pay_to_partner_id, CASE WHEN cavv3 IS NOT NULL AND ((payee <> '{codes.EXAMPLE.us_broker}' AND eci3 IN ({_SHIFT})) OR (payee = '{codes.EXAMPLE.us_broker}' AND zero IN ({_SHIFT}))) THEN 'Yes' ELSE 'No' END AS threeds,
   CASE WHEN reported_at IS NULL THEN 'No' ELSE 'Yes' END AS has_fw, CASE WHEN status IN (13, 15) THEN 'Yes' ELSE 'No' END AS refunded, kind,
   CASE rc WHEN '10.5' THEN 'Visa Fraud Monitoring Program' ELSE why END AS why, total_amount, total_amount_usd,
   CASE proc WHEN 'ecp' THEN (((raw->>'$.amount')::DECIMAL(20,2) / -100)::DECIMAL(10,2))::VARCHAR WHEN 'paysafe' THEN replace(raw->>'$."Posting Amount"', ',', '') WHEN 'safecharge' THEN raw->>'$.chargebackAmount' END AS amt,
   CASE proc WHEN 'ecp' THEN 'USD' WHEN 'paysafe' THEN raw->>'$."Original Transaction Currency"' WHEN 'safecharge' THEN raw->>'$.currency' END AS amt_cur,
   handling_at, posted_on, stage, proc,
-  CASE WHEN tk_id IS NULL THEN 'No' WHEN pay_to_partner_id = 419 OR (kind = 'service_level' AND pay_to_partner_id IN ({_list(codes.LIABLE_SERVICE_PARTNERS)})) THEN 'Yes'
+  CASE WHEN tk_id IS NULL THEN 'No' WHEN pay_to_partner_id = 40 OR (kind = 'service_level' AND pay_to_partner_id IN ({_list(codes.EXAMPLE.liable_service_partners)})) THEN 'Yes'
     WHEN kind = 'fraud' AND cavv3 IS NULL THEN 'Yes' ELSE 'No' END AS liable,
   CASE WHEN left(bin, 1) = '4' THEN 'Visa' WHEN left(bin, 1) IN ('2', '5', '6') THEN 'Mastercard'
     WHEN bin IS NULL THEN CASE WHEN instr = 'google_pay' THEN 'GooglePay-' ELSE 'ApplePay-' END || CASE WHEN (raw->>'$.paymentMethod') = 'Visa' THEN 'Visa' ELSE 'Mastercard' END ELSE 'Error' END AS scheme,
@@ -295,7 +295,7 @@ SELECT template AS "Chargeback_Template__c", fight AS "Fight_Until__c", out.arn
   proxy_score AS "Proxy_Score__c", device_id AS "Device_Id__c", last_4 AS "Last_4_CC_Digits__c", replace(replace(replace(full_name, ',', ''), '.', ''), '#', '') AS "Full_Name__c", email AS "Email__c",
   replace(replace(replace(address, ',', ''), '.', ''), '#', '') AS "Billing_Address__c", ab_fight AS "AB_Fight_Until_Date__c", confirmed AS "Has_Email_Confirmation__c", blockchain_link AS "Blockchain_Website__c",
   phone AS "Phone__c", fraud_type AS "Fraud_Type_code__c", avs_value AS "AVS_value__c", CASE WHEN avs_rows.avs THEN 'Yes' ELSE 'No' END AS "AVS_Match__c", CASE WHEN avs_check THEN 'Yes' ELSE 'No' END AS "AVS_Check__c",
-  CASE WHEN (payee <> '{codes.US_BROKER}' AND proof.eci IN ({_SHIFT})) OR (payee = '{codes.US_BROKER}' AND answer_eci IN ({_SHIFT}))
+  CASE WHEN (payee <> '{codes.EXAMPLE.us_broker}' AND proof.eci IN ({_SHIFT})) OR (payee = '{codes.EXAMPLE.us_broker}' AND answer_eci IN ({_SHIFT}))
     THEN concat('ECI ', proof.eci, ', CAVV: ', proof.cavv, ', Card Number ', credit_card, ', Auth Code: ', auth_code) ELSE 'False' END AS "X3DS_Details__c"
 FROM out LEFT JOIN identity ON identity.payment_id = pid LEFT JOIN links ON links.payment_id = pid LEFT JOIN avs_rows ON avs_rows.payment_id = pid
 LEFT JOIN proof ON proof.payment_id = pid LEFT JOIN answer ON answer.payment_id = pid LEFT JOIN (SELECT DISTINCT payment_id, tag FROM fraud_ring_tags) rings ON rings.payment_id = pid
@@ -312,7 +312,7 @@ def dispute_case_file(spark: SparkSession, sf: str) -> DataFrame:
 @register("case_updates", f"""
 WITH {with_tables('proc_requests', 'chargebacks', 'fraud_warnings', 'fraud_ring_tags')}, {_fraud_sql('100', "'8', '0'").replace(AS_OF, '2001-08-20')},
 open_cases AS (SELECT DISTINCT payment_id FROM chargebacks WHERE posted_at >= TIMESTAMP '2001-08-20' - INTERVAL 100 DAY AND status = '1st_chargeback')
-SELECT 'crm' || o.payment_id AS "Id", CASE WHEN tag = '{codes.MASS_CLOSING_TAG}' THEN '' ELSE tag END AS "Fraud_Ring__c", fraud_type AS "Fraud_Type_code__c", fraud_description AS "Fraud_Type_Description__c",
+SELECT 'crm' || o.payment_id AS "Id", CASE WHEN tag = '{codes.EXAMPLE.mass_closing_tag}' THEN '' ELSE tag END AS "Fraud_Ring__c", fraud_type AS "Fraud_Type_code__c", fraud_description AS "Fraud_Type_Description__c",
   CASE WHEN w.payment_id IS NULL THEN 'No' ELSE 'Yes' END AS "Has_FW__c"
 FROM open_cases o LEFT JOIN fraud_ring_tags t ON t.payment_id = o.payment_id LEFT JOIN fraud ON fraud.payment_id = o.payment_id
 LEFT JOIN (SELECT DISTINCT payment_id FROM fraud_warnings WHERE inserted_at >= TIMESTAMP '2001-08-20' - INTERVAL 180 DAY) w ON w.payment_id = o.payment_id

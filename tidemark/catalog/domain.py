@@ -66,7 +66,7 @@ _DOMAIN: dict[str, str] = {
   CAST(floor(o_totalprice) + o_orderkey % 7 AS DECIMAL(18,2)) AS total_amount_usd,
   CASE o_orderkey % 4 WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN CAST(2 AS DOUBLE) WHEN 2 THEN CAST(0.5 AS DOUBLE) ELSE CAST(4 AS DOUBLE) END AS usd_rate,
   CASE WHEN <HAS_BIN> THEN <BIN> END AS bin, 'q' || o_orderkey AS quote_id,
-  CASE o_orderkey % 6 WHEN 0 THEN CAST(419 AS BIGINT) WHEN 1 THEN CAST(38 AS BIGINT) WHEN 2 THEN CAST(67 AS BIGINT) WHEN 3 THEN CAST(1 AS BIGINT)
+  CASE o_orderkey % 6 WHEN 0 THEN CAST(40 AS BIGINT) WHEN 1 THEN CAST(38 AS BIGINT) WHEN 2 THEN CAST(67 AS BIGINT) WHEN 3 THEN CAST(1 AS BIGINT)
     WHEN 4 THEN CAST(23 AS BIGINT) ELSE o_custkey END AS pay_to_partner_id,
   <PROCESSOR_ID> AS processor_id, 'mid' || (o_orderkey % 10) AS mid,
   CASE WHEN <HAS_BIN> THEN 'cc' || o_custkey END AS cc_identifier, <COIN> AS crypto_currency,
@@ -82,7 +82,7 @@ FROM @orders""",
     "end_users": """SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'ann' ELSE 'Bob' END || (c_custkey % 7) AS first_name,
   'lee' || (c_custkey % 6) AS last_name, TIMESTAMP '1995-01-01 00:00:00' + (c_custkey % 100) * INTERVAL '1' DAY AS created_at FROM @customer""",
     "partners": """SELECT c_custkey AS id, 'partner-' || c_custkey AS name,
-  CASE WHEN c_custkey = 419 THEN 'Paybis-US-broker' ELSE c_name END AS full_name,
+  CASE WHEN c_custkey = 40 THEN 'us-broker' ELSE c_name END AS full_name,
   CASE WHEN c_custkey % 2 = 0 OR c_custkey < 100 THEN 'broker' ELSE 'wallet' END AS service_type,
   CASE WHEN c_custkey % 5 = 0 THEN '{"activated":false}' ELSE '{"activated":true,"capping":{"daily_total_usd_amount":"' || (1000000 + c_custkey * 10) || '"}}' END AS config
 FROM @customer""",
@@ -142,7 +142,7 @@ FROM @nation WHERE n_nationkey < 7""",
   WHEN 4 THEN 'Account Takeover Fraud' WHEN 5 THEN 'Processing Error' WHEN 6 THEN 'Card Not Present Fraud' WHEN 7 THEN 'Unknown' ELSE 'Odd' END || '"}' AS raw_data
 FROM @orders WHERE o_orderkey % 3 <> 2""",
     "fraud_ring_tags": """SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 2 = 0 THEN true END AS third_party_scam,
-  CASE WHEN o_orderkey % 10 = 0 THEN 'Ticket - Mass closing 3rd party fraud queue with auto URS' ELSE 'ring ' || (o_orderkey % 12) END AS tag FROM @orders WHERE o_orderkey % 5 = 0""",
+  CASE WHEN o_orderkey % 10 = 0 THEN 'mass-closed' ELSE 'ring ' || (o_orderkey % 12) END AS tag FROM @orders WHERE o_orderkey % 5 = 0""",
     "payment_events_log": """SELECT o_orderkey * 2 AS id, o_orderkey AS payment_id, 'payment_approved' AS name,
   CASE WHEN o_orderkey % 12 = 11 THEN CAST(9 AS BIGINT) ELSE CAST(67 AS BIGINT) END AS partner_id FROM @orders
 UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey, 'payment_execution', CAST(23 AS BIGINT) FROM @orders WHERE o_orderkey % 2 = 0""",
@@ -159,7 +159,7 @@ UNION ALL SELECT o_orderkey + 5000000000, <CREATED> + INTERVAL '1' DAY, '[{"name
   '{"billing_address":{"distance_to_ip_location":' || (o_orderkey % 3 * 80) || '},"ip_address":{"location":{"accuracy_radius":' || (o_custkey % 50)
   || '},"risk":' || (o_custkey % 9) || ',"city":{"names":{"en":"C' || (o_custkey % 9) || '"}},"subdivisions":[{"names":{"en":"Sub"}}],"postal":{"code":"P1"},"country":{"names":{"en":"Land"}}},"credit_card":{"issuer":'
   || CASE WHEN o_orderkey % 4 = 0 THEN '{"name":"Issuer ' || (o_custkey % 6) || '"}' ELSE '{}' END || '}}' AS data FROM @orders""",
-    "decisions": """SELECT o_orderkey AS id, 'Bender_Auto_Decide' AS application_name, o_orderkey AS payment_id, <CREATED> AS created_at,
+    "decisions": """SELECT o_orderkey AS id, 'decision-engine' AS application_name, o_orderkey AS payment_id, <CREATED> AS created_at,
   '{"Analytic":{"variables":{"Analytic":{"buyer_email_name_match_level":"' || CASE o_custkey % 3 WHEN 0 THEN 'full_match' ELSE 'none' END
   || '","buyer_ekata_email_name_match":"' || CASE o_custkey % 5 WHEN 0 THEN 'partial_match' ELSE 'none' END
   || '","buyer_ekata_name_phone_match":"' || CASE o_custkey % 4 WHEN 0 THEN 'full_match' ELSE 'none' END

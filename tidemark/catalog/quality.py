@@ -13,21 +13,16 @@ from tidemark.operators import gaps, reconcile
 
 THRESHOLDS = {"click": 900, "error": 1800, "signup": 4200}
 
-GAPS = """thinned AS (SELECT event_type AS feed, date_trunc('second', ts) AS t,
-    CASE event_type WHEN 'click' THEN 900 WHEN 'error' THEN 1800 WHEN 'signup' THEN 4200 ELSE 300 END AS lim FROM events
-    WHERE extract(hour FROM ts) NOT IN (3, 4, 23, 0)),
-  steps AS (SELECT feed, lim, lag(t) OVER (PARTITION BY feed ORDER BY t) AS gap_start, t AS gap_end FROM thinned),
+GAPS = """marks AS (SELECT event_type AS feed, date_trunc('second', ts) AS t,
+    CASE event_type WHEN 'click' THEN 900 WHEN 'error' THEN 1800 WHEN 'signup' THEN 4200 ELSE 300 END AS lim FROM events),
+  steps AS (SELECT feed, lim, lag(t) OVER (PARTITION BY feed ORDER BY t) AS gap_start, t AS gap_end FROM marks),
   gaps AS (SELECT feed, gap_start, gap_end, date_diff('second', gap_start, gap_end) AS gap_seconds FROM steps
     WHERE date_diff('second', gap_start, gap_end) > lim)"""
 
 
-def thinned(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").filter(~F.hour("ts").isin(3, 4, 23, 0))
-
-
 @register("feed_gaps", f"WITH {GAPS} SELECT * FROM gaps")
 def feed_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return gaps.find_gaps(thinned(spark, sf), "event_type", "ts", THRESHOLDS)
+    return gaps.find_gaps(table(spark, sf, "events"), "event_type", "ts", THRESHOLDS)
 
 
 @register("feed_gap_summary", f"""
@@ -35,7 +30,7 @@ WITH {GAPS} SELECT feed, CAST(gap_start AS DATE) AS day, count(*) AS gaps, max(g
   min(gap_start) AS first_start, max(gap_end) AS last_end, date_diff('second', min(gap_start), max(gap_end)) AS span_seconds
 FROM gaps GROUP BY 1, 2""")
 def feed_gap_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return gaps.gap_summary(gaps.find_gaps(thinned(spark, sf), "event_type", "ts", THRESHOLDS))
+    return gaps.gap_summary(gaps.find_gaps(table(spark, sf, "events"), "event_type", "ts", THRESHOLDS))
 
 
 @register("recent_feed_gaps", """

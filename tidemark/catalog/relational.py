@@ -121,9 +121,9 @@ def constant_relation(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("latest_status", """
 SELECT user_id, event_type, ts AS latest_event_time, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rn FROM events WHERE event_type <> 'error') WHERE rn = 1""")
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""")
 def latest_status(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").filter("event_type <> 'error'")
+    e = table(spark, sf, "events")
     return latest_per_key(e, ["user_id", "event_type"], ["ts"]).select(
         "user_id", "event_type", F.col("ts").alias("latest_event_time"), "value")
 
@@ -220,10 +220,10 @@ def total_row(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("sum_over_distinct", """
 SELECT l_partkey, l_shipdate, CAST(sum(amount) AS DOUBLE) AS amount FROM (
-  SELECT DISTINCT l_orderkey, l_partkey, l_shipdate, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem WHERE l_linestatus = 'F')
+  SELECT DISTINCT l_orderkey, l_partkey, l_shipdate, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem)
 GROUP BY 1, 2""")
 def sum_over_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "lineitem").filter("l_linestatus = 'F'").select(
+    d = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_shipdate", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount")).distinct()
     return d.groupBy("l_partkey", "l_shipdate").agg(F.sum("amount").cast("double").alias("amount"))
 

@@ -6,6 +6,25 @@ and the dispute desk use, so it is stated as it is.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+
+@dataclass(frozen=True)
+class House:
+    """What a company fills in for its own case files: partner ids and names."""
+
+    top_up_partners: tuple[int, ...] = ()
+    ten_day_partners: tuple[int, ...] = ()
+    liable_service_partners: tuple[int, ...] = ()
+    executing_partners: tuple[int, ...] = ()
+    us_broker: str = "us-broker"
+    deciding_application: str = "decision-engine"
+    mass_closing_tag: str = "mass-closed"
+
+
+#: The partners of the tests and of the registered queries.
+EXAMPLE = House(top_up_partners=(1, 15), ten_day_partners=(40,), liable_service_partners=(38, 40, 67), executing_partners=(23, 40, 67))
+
 PROCESSOR_IDS = {"ecp": 3, "paysafe": 5, "worldline": 7, "safecharge": 8}
 
 PROCESSING_FEE = {"ecp": 0.25, "paysafe": 0.2, "worldline": 0.2, "safecharge": 0.2}
@@ -112,20 +131,13 @@ IDENTITY_REASONS = ["10.4", "4837", "4849", "4808", "11.3", "10.5", "4840"]
 TURNKEY_FRAUD_REASONS = ["11.3", "4808"]
 REASON_TEXT = {
     "10.5": "Visa Fraud Monitoring Program",
-    "4870 ": "Chip Liability Shift",
+    "4870": "Chip Liability Shift",
     "4871": "Chip/PIN Liability Shift",
 }
 SKIPPED_REASONS = ["2700"]
 APPROVED_STATUSES = [2, 13, 15, 9]
 REFUNDED_STATUSES = [13, 15]
-TOP_UP_PARTNERS = [1, 15, 41, 54, 90, 118, 161]
-TEN_DAY_PARTNERS = [419]
-LIABLE_SERVICE_PARTNERS = [38, 52, 67, 176, 278, 291, 321, 419, 585]
-EXECUTING_PARTNERS = [23, 67, 111, 176, 178, 291, 321, 350, 419, 585]
-US_BROKER = "Paybis-US-broker"
 BINBASE_VERSION = 14
-DECIDING_APPLICATION = "Bender_Auto_Decide"
-MASS_CLOSING_TAG = "Ticket - Mass closing 3rd party fraud queue with auto URS"
 
 # Block explorers: coin to link prefix.
 EXPLORERS = {

@@ -13,6 +13,7 @@ caller's step (see ``tidemark.sinks.tables``).  Two plans exist for key matching
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,16 +70,23 @@ def _put(target: DataFrame, source: DataFrame, keys: list[str], set_columns: lis
         return F.when(old, kept).otherwise(fresh).cast(target.schema[c].dataType).alias(c)
 
     columns = [value(c) for c in target.columns]
+
+    def put_in(rows: DataFrame) -> DataFrame:
+        return rows.select(*[
+            (F.col(c) if c in inserted else defaults.get(c, F.lit(None))).cast(target.schema[c].dataType).alias(c)
+            for c in target.columns])
+
     if plan == "full_outer":
-        return t.join(s, on, "full_outer").select(*columns)
+        # rows with a NULL key match nothing and would all meet in one task of the join
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        s_keyed = reduce(lambda a, b: a & b, [F.col(f"__s_{k}").isNotNull() for k in keys])
+        matched = t.filter(keyed).join(s.filter(s_keyed), on, "full_outer").select(*columns)
+        return matched.unionByName(target.filter(~keyed)).unionByName(put_in(source.filter(~keyed)))
 
     matched_keys = target.select(*keys).join(
         source.select(*[F.col(k).alias(f"__s_{k}") for k in keys]), on, "left_semi")
     fresh = source.join(matched_keys, keys, "left_anti")
-    added = fresh.select(*[
-        (F.col(c) if c in inserted else defaults.get(c, F.lit(None))).cast(target.schema[c].dataType).alias(c)
-        for c in target.columns])
-    return t.join(s, on, "left").select(*columns).unionByName(added)
+    return t.join(s, on, "left").select(*columns).unionByName(put_in(fresh))
 
 
 def merge(target: DataFrame, source: DataFrame, key: str | Sequence[str], *, defaults: Sequence[str] = (),

@@ -6,17 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
-
-_BLOCK = 65536
-
 
 # Fixed value: four numbers from 0 to 255, with dots between.
 _IPV4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
 
 
 def ipv4_number(c: Column | str) -> Column:
-    """IPv4 text to a number; NULL for anything else."""
+    """IPv4 text to a number; NULL for anything else, IPv6 included, which is placed nowhere."""
     text = F.col(c) if isinstance(c, str) else c
     number = F.aggregate(F.split(text, r"\."), F.lit(0).cast("long"), lambda acc, x: acc * 256 + x.cast("long"))
     return F.when(text.rlike(_IPV4), number)
@@ -47,17 +43,27 @@ def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
 
 
 def range_blocks(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
-    """Ranges repeated once per block of 65,536 numbers they touch, with the block number."""
-    first = F.call_function("div", F.col(low), F.lit(_BLOCK))
-    last = F.call_function("div", F.col(high), F.lit(_BLOCK))
-    return ranges.withColumn("__block", F.explode(F.sequence(first, last)))
+    """Each range with its level and the blocks of that level it touches, three at most.
+
+    A block of level n has 16^n numbers, and a range is kept at the first level whose blocks are as long
+    as it is.  So a wide range is not spread over many blocks, and ranges that do not overlap are
+    at most about twenty to a block, as all of a level are longer than a sixteenth of it.
+    """
+    length = (F.col(high).cast("decimal(20,0)") - F.col(low) + 1).cast("double")
+    level = F.least(F.lit(15), F.greatest(F.lit(0), F.ceil(F.log2(length) / 4))).cast("int")
+    blocks = F.expr(f"sequence(shiftright(CAST(`{low}` AS BIGINT), 4 * __level), shiftright(CAST(`{high}` AS BIGINT), 4 * __level))")
+    return (ranges.filter(F.col(low) <= F.col(high)).withColumn("__level", level).withColumn("__block", F.explode(blocks)))
 
 
 def _in_ranges(numbers: DataFrame, number: str, ranges: DataFrame, low: str, high: str) -> DataFrame:
-    """Inner join to the range that holds each number, by equality on the block."""
-    keyed = numbers.withColumn("__block", F.call_function("div", F.col(number), F.lit(_BLOCK)))
+    """Inner join to the range that holds each number, by equality on level and block."""
+    levels = F.explode(F.sequence(F.lit(0), F.lit(15)))
+    keyed = numbers.withColumn("__level", levels).withColumn(
+        "__block", F.expr(f"shiftright(CAST(`{number}` AS BIGINT), 4 * __level)"))
+    blocks = range_blocks(ranges, low, high)
+    there = [r[0] for r in blocks.select("__level").distinct().collect()]  # 16 at most
     hit = F.col(number).between(F.col(low), F.col(high))
-    return keyed.join(range_blocks(ranges, low, high), "__block").filter(hit).drop("__block")
+    return keyed.filter(F.col("__level").isin(there)).join(blocks, ["__level", "__block"]).filter(hit).drop("__level", "__block")
 
 
 def range_lookup(fact: DataFrame, number: str, ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
@@ -87,10 +93,11 @@ def ip_place(fact: DataFrame, ip: str, ranges: DataFrame, places: Sequence[str])
 def overlapping_ranges(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
     """Ranges that start before an earlier one of the table has ended; empty for a usable table.
 
-    Compared by block, so no task sees all ranges.
+    Every start is looked up among the ranges, so no task sees all of them.
     """
-    w = Window.partitionBy("__block").orderBy(low, high).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        range_blocks(ranges, low, high).withColumn("__end", F.max(high).over(w))
-        .filter(F.col("__end") >= F.col(low)).drop("__block", "__end").distinct()
-    )
+    spans = ranges.groupBy(low, high).agg(F.count(F.lit(1)).alias("__n"))
+    starts = spans.select(F.col(low).alias("__lo"), F.col(high).alias("__hi"), "__n")
+    held = _in_ranges(starts, "__lo", spans.select(low, high), low, high)
+    earlier = (F.col(low) < F.col("__lo")) | ((F.col(low) == F.col("__lo")) & (F.col(high) < F.col("__hi")))
+    late = held.filter(earlier | (F.col("__n") > 1)).select(F.col("__lo").alias(low), F.col("__hi").alias(high)).distinct()
+    return ranges.join(late, [low, high], "left_semi").select(*ranges.columns).distinct()

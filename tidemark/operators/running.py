@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tidemark.operators.lookup import salted_join
+from tidemark.sinks.tables import parked
 
 def running_share(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
     """Running sum, group total and their ratio, row by row.
@@ -22,16 +24,17 @@ def running_share(df: DataFrame, group: Sequence[str], order: Sequence[str], val
         "running_ratio", F.col("running_total").cast("double") / F.col("group_total").cast("double"))
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+def with_group_values(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], salts: int = 32) -> DataFrame:
     """Add aggregates of each row's group, as window aggregates would.
 
-    Done as a map-side combined aggregate and an equi-join, so that a group holding a
-    third of the rows need not pass through one task.  Rows with a NULL key get NULLs.
+    A map-side combined aggregate gives one row per group; these are repeated over ``salts`` and the
+    rows spread over them by a hash, so that a group holding a third of the rows is
+    joined in as many tasks.  Rows with a NULL key get NULLs, and are spread alike.
     """
     values = df.groupBy(*keys).agg(*aggregates)
     for k in keys:
         values = values.filter(F.col(k).isNotNull())
-    return df.join(values, list(keys), "left")
+    return salted_join(df, values, list(keys), "left", salts)
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -43,17 +46,19 @@ def group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def global_row_number(df: DataFrame, first: Sequence[str], then: Sequence[Column], name: str) -> DataFrame:
     """``row_number`` over the whole result without one task sorting all of it.
 
-    Rows are numbered within each value of the leading order columns ``first``
-    (ascending); the counts of the smaller values, one row per value, give the offset.
+    The rows are dealt out by ranges of the whole order and written with the number of their range, so
+    that ranges are the same when they are counted and when they are numbered.  One
+    number per range gives the offsets.  A range holds about its share of the rows however few values the
+    leading columns have; only rows equal in the whole order stay together.
     """
-    sizes = df.groupBy(*first).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(*first).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*[F.col(c).alias(f"__o_{c}") for c in first],
-                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    on = [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in first]
-    within = F.row_number().over(Window.partitionBy(*first).orderBy(*then))
+    order = [*[F.col(c).asc() for c in first], *then]
+    ranged = parked(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
     return (
-        df.withColumn("__within", within).join(offsets, on, "inner")
+        ranged.withColumn("__within", within).join(offsets, "__range")
         .withColumn(name, (F.col("__before") + F.col("__within")).cast("long"))
         .select(name, *df.columns)
     )
@@ -66,7 +71,11 @@ def with_total_row(df: DataFrame, key: str, aggregates: Sequence[Column], label:
 
 
 def ordered_listing(df: DataFrame, group: Sequence[str], text: str, position: str, sep: str, name: str) -> DataFrame:
-    """Texts of a group joined in the order of a position column."""
+    """Texts of a group joined in the order of a position column.
+
+    The result is one text per group, so it is for groups whose text fits a row, such as
+    the columns of a table.
+    """
     items = F.array_sort(F.collect_list(F.struct(position, text)))
     joined = F.array_join(F.transform(items, lambda x: x[text]), sep)
     return df.groupBy(*group).agg(joined.alias(name))

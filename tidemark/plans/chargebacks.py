@@ -113,8 +113,8 @@ def _avs_in(processor: Column, response: Column, lists: Mapping[str, Sequence[st
     return F.coalesce(hit, F.lit(False))
 
 
-def _decision_features(t: Tables, cases: DataFrame) -> DataFrame:
-    d = near(t["decisions"].filter(F.col("application_name") == codes.DECIDING_APPLICATION), cases, "payment_id")
+def _decision_features(t: Tables, cases: DataFrame, house: codes.House) -> DataFrame:
+    d = near(t["decisions"].filter(F.col("application_name") == house.deciding_application), cases, "payment_id")
     d = latest_per_key(d, "payment_id", ["created_at", "id"])
     inner = text_at("variables", "Analytic", "variables", "Analytic")
     names = ["buyer_email_name_match_level", "buyer_ekata_email_name_match", "buyer_ekata_address_phone_match",
@@ -150,7 +150,7 @@ def _in_fraud_ring(t: Tables, cases: DataFrame) -> DataFrame:
     return newest.filter(F.exists(names, lambda n: n.ilike("%fraud ring%"))).select("payment_id", F.lit(True).alias("ring"))
 
 
-def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = False) -> DataFrame:
+def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = False, house: codes.House = codes.EXAMPLE) -> DataFrame:
     """Score of the evidence that buyer and card holder are one person, with its parts.
 
     The first digit of the reference number tells the scheme: 7 and 2 Visa, 8 and 0
@@ -163,7 +163,7 @@ def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = F
         "payment_id", avs_matches(F.col("processor"), F.col("raw_response")).alias("avs"))
     partners = t["partners"].select(F.col("id").alias("pay_to_partner_id"), F.col("full_name").alias("partner"))
     x = (
-        cases.join(partners, "pay_to_partner_id", "left").join(_decision_features(t, cases), "payment_id", "left")
+        cases.join(partners, "pay_to_partner_id", "left").join(_decision_features(t, cases, house), "payment_id", "left")
         .join(_ip_features(t, cases), "payment_id", "left").join(_in_fraud_ring(t, cases), "payment_id", "left")
         .join(transaction_age(t, cases), "payment_id", "left").join(avs, "payment_id", "left")
         .join(undisputed_history(t, cases), "cc_identifier", "left").join(undisputed_wallet_history(t, cases), "last4", "left"))
@@ -173,7 +173,7 @@ def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = F
 
     digit = F.left("arn", F.lit(1))
     visa, master = no(digit.isin("7", "2")), no(digit.isin("8", "0"))
-    us = no((F.col("partner") == codes.US_BROKER) & (digit == "7"))
+    us = no((F.col("partner") == house.us_broker) & (digit == "7"))
 
     def points(cond: Column, for_us: float, for_visa: float, for_master: float) -> Column:
         cond = no(cond)
@@ -376,12 +376,13 @@ def disputed_by_card_and_day(t: Tables) -> DataFrame:
 
 # --- the case file --------------------------------------------------------------------
 
-def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str] = APPROVED_EVENTS) -> DataFrame:
+def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str] = APPROVED_EVENTS,
+          house: codes.House = codes.EXAMPLE) -> DataFrame:
     """First disputes of approved, executed payments, with deadlines, amounts, liability and parties."""
     cb = first_disputes(t, as_of, days).filter(~F.col("reason_code").isin(codes.SKIPPED_REASONS)).select(
         "payment_id", "posted_at", "reason_code", "raw_data", F.col("status").alias("stage"))
     log = near(t["payment_events_log"], cb, "payment_id").filter(
-        F.col("name").isin(*approved_events) & F.col("partner_id").isin(codes.EXECUTING_PARTNERS))
+        F.col("name").isin(*approved_events) & F.col("partner_id").isin(list(house.executing_partners)))
     pay = t["payments"].withColumnRenamed("payment_id", "long_id").withColumnRenamed("id", "payment_id")
     pay = near(near(pay.filter(F.col("status").isin(codes.APPROVED_STATUSES)), cb, "payment_id"), log, "payment_id")
     pr = near(t["proc_requests"].filter("tx_type = 'authorization' and status = 'success'"), cb, "payment_id").select(
@@ -416,13 +417,13 @@ def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str
         .join(quotes, "quote_id", "left").join(wallets, "wallet_id", "left").join(payees, "pay_to_partner_id", "left")
         .join(processors, "processor_id", "left").join(mids, "mid", "left").join(em, ["bin", "login_ip", "created_on"], "left")
         .join(totals, ["cc_identifier", "posted_on"], "left").join(confirmed, "payment_id", "left"))
-    return x.select(*_case_columns()).distinct()
+    return x.select(*_case_columns(house)).distinct()
 
 
-def _case_columns() -> list[Column]:
+def _case_columns(house: codes.House) -> list[Column]:
     payee, proc, kind = F.col("pay_to_partner_id"), F.col("processor"), F.col("chargeback_type")
-    raw, bin_, us = F.col("raw_data"), F.col("bin"), F.col("partner_name") == codes.US_BROKER
-    ten_days = payee.isin(codes.TEN_DAY_PARTNERS)
+    raw, bin_, us = F.col("raw_data"), F.col("bin"), F.col("partner_name") == house.us_broker
+    ten_days = payee.isin(list(house.ten_day_partners))
 
     def due(n: int) -> Column:
         return F.date_add(F.to_date("posted_at"), n)
@@ -447,7 +448,7 @@ def _case_columns() -> list[Column]:
     currency = F.when(proc == "ecp", "USD").when(proc == "paysafe", text_at(raw, "Original Transaction Currency")).when(
         proc == "safecharge", text_at(raw, "currency"))
     liable = F.col("tk_id").isNotNull() & (
-        ((kind == "service_level") & payee.isin(codes.LIABLE_SERVICE_PARTNERS)) | ten_days | ((kind == "fraud") & cavv.isNull()))
+        ((kind == "service_level") & payee.isin(list(house.liable_service_partners))) | ten_days | ((kind == "fraud") & cavv.isNull()))
     method, google = text_at(raw, "paymentMethod"), F.col("payment_instrument_type") == "google_pay"
     wallet = F.when(google, "GooglePay-").otherwise("ApplePay-")
     scheme = (
@@ -473,7 +474,7 @@ def _case_columns() -> list[Column]:
         template.alias("cb_template"), fight.alias("fight_until"), strip_chars(acquirer_reference(raw), "'").alias("arn"),
         F.col("payment_id"), F.col("cc_identifier").alias("credit_card_identifier"),
         F.coalesce("cd_type", "fwc_type").alias("analysts_decision"), F.coalesce("cd_sub", "fwc_sub").alias("sub_classification"),
-        F.when(payee.isin(codes.TOP_UP_PARTNERS), "Top-Up").otherwise(F.col("crypto_currency")).alias("crypto_curr"),
+        F.when(payee.isin(list(house.top_up_partners)), "Top-Up").otherwise(F.col("crypto_currency")).alias("crypto_curr"),
         F.col("partner_name"), F.col("phone"), payee.alias("account_id"), yes(shifted).alias("threeds"),
         yes(F.col("warned_at").isNotNull()).alias("has_fw"), yes(F.col("status").isin(codes.REFUNDED_STATUSES)).alias("was_refunded"),
         kind.alias("cb_type"), F.col("reason_code"),
@@ -522,19 +523,19 @@ CRM_FIELDS = {
 
 
 def case_file(t: Tables, as_of: object, days: int = 5, cards_since: object = "2022-01-01",
-              approved_events: Sequence[str] = APPROVED_EVENTS) -> DataFrame:
+              approved_events: Sequence[str] = APPROVED_EVENTS, house: codes.House = codes.EXAMPLE) -> DataFrame:
     """The whole case file under CRM names, one row per case and combination of its evidence."""
-    base = parked(cases(t, as_of, days, approved_events))
+    base = parked(cases(t, as_of, days, approved_events, house))
     peers = parked(delivered(t, base))
     rings = near(t["fraud_ring_tags"], base, "payment_id").select("payment_id", "tag").distinct()
     x = base
     for part in (
-        identity_match(t, as_of, days).select("payment_id", "rank"), explorer_links(t, peers), avs_answers(t, peers),
+        identity_match(t, as_of, days, house=house).select("payment_id", "rank"), explorer_links(t, peers), avs_answers(t, peers),
         authentication_evidence(t, peers), answered_eci(t, peers), rings,
         fraud_types(t, as_of, days).select("payment_id", "fraud_type").distinct(),
         device_details(t, as_of, days), last_four_digits(t, cards_since)):
         x = x.join(part, "payment_id", "left")
-    us = F.col("partner_name") == codes.US_BROKER
+    us = F.col("partner_name") == house.us_broker
     proven = F.when(us, F.col("answer_eci").isin(codes.LIABILITY_SHIFT_ECI)).when(
         ~us, F.col("eci").isin(codes.LIABILITY_SHIFT_ECI) & F.col("cavv").isNotNull())
     text = concat_skip_null(F.lit("ECI "), "eci", F.lit(", CAVV: "), "cavv", F.lit(", Card Number "), "credit_card",
@@ -545,7 +546,8 @@ def case_file(t: Tables, as_of: object, days: int = 5, cards_since: object = "20
     return x.select(*[F.col(c).alias(field) for c, field in CRM_FIELDS.items()])
 
 
-def case_updates(t: Tables, as_of: object, crm_ids: DataFrame | None = None) -> DataFrame:
+def case_updates(t: Tables, as_of: object, crm_ids: DataFrame | None = None,
+                 house: codes.House = codes.EXAMPLE) -> DataFrame:
     """What the CRM has to learn about open cases: ring, warning type, and whether there is a warning.
 
     With ``crm_ids`` (``payment_key`` text, ``Id``) the rows carry the CRM's own id instead
@@ -560,7 +562,7 @@ def case_updates(t: Tables, as_of: object, crm_ids: DataFrame | None = None) ->
     kinds = fraud_types(t, as_of, 100, nine_is_mastercard=False)
     x = (
         open_cases.join(rings, "payment_id", "left").join(warned, "payment_id", "left").join(kinds, "payment_id", "left")
-        .select("payment_id", F.when(F.col("tag") == codes.MASS_CLOSING_TAG, "").otherwise(F.col("tag")).alias("Fraud_Ring__c"),
+        .select("payment_id", F.when(F.col("tag") == house.mass_closing_tag, "").otherwise(F.col("tag")).alias("Fraud_Ring__c"),
                 F.col("fraud_type").alias("Fraud_Type_code__c"), F.col("fraud_description").alias("Fraud_Type_Description__c"),
                 F.when(F.col("warned"), "Yes").otherwise("No").alias("Has_FW__c")))
     if crm_ids is None:

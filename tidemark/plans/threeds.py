@@ -134,12 +134,16 @@ def authentication_funnel(t: Tables, since: object) -> DataFrame:
     window = t["payments_auth_requests"].filter(F.col("created_at") > low).select("auth_request_id")
     links = parked(_newest_links(near(t["auth_request_threeds"], window, "auth_request_id"), low))
     routed = near(t["auth_request_proc_requests"], window, "auth_request_id").select("auth_request_id", "proc_request_id")
-    r = (
+    linked = (
         _requests(t, low)
         .join(_first_flow(t, window), "auth_request_id", "left").join(routed, "auth_request_id", "left")
         .join(links, "auth_request_id", "left")
-        .join(_modern(t, links), "threeds_id", "left").join(_legacy(t, links), "threeds_id", "left")
     )
+    # requests without an authentication have no outcome to look for; joined, they would meet in one task
+    outcomes = parked(_modern(t, links).filter("threeds_id is not null").join(
+        _legacy(t, links).filter("threeds_id is not null"), "threeds_id", "full_outer"))
+    r = linked.filter("threeds_id is not null").join(outcomes, "threeds_id", "left").unionByName(
+        linked.filter("threeds_id is null"), allowMissingColumns=True)
     version = F.col("version")
     no_version = F.coalesce((version == "0"), F.lit(False)) | version.isNull()
     v1, v2 = _starts(version, "1"), _starts(version, "2")

@@ -18,7 +18,3 @@ def flatten_ticks(df: DataFrame, payload: str) -> DataFrame:
         .select("currency_pair", F.col("d.close").alias("price"), epoch_s_to_text("d.time").alias("ts"))
     )
 
-
-def pair_name(from_symbol: str, to_symbol: str):
-    """Name of a pair: both symbols in lower case, run together."""
-    return F.concat(F.lower(from_symbol), F.lower(to_symbol))
