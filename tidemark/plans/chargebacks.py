@@ -359,8 +359,9 @@ def last_four_digits(t: Tables, since: object = "2022-01-01") -> DataFrame:
         "payment_id", "tx_type", text_at("raw_response", "last4Digits").alias("last_4"))
     owned = pay.select("payment_id", "end_user_id", "status")
     disputed = near(wallet.filter("tx_type = 'capture-authorization'"), cb, "payment_id").join(near(owned, cb, "payment_id"), "payment_id")
-    known = disputed.select("last_4", "end_user_id").distinct()
-    settled = wallet.join(owned.filter("status = 2"), "payment_id").join(known, ["last_4", "end_user_id"], "left_semi")
+    known = parked(disputed.select("last_4", "end_user_id").distinct())
+    theirs = near(owned.filter("status = 2"), known, "end_user_id")
+    settled = wallet.join(theirs, "payment_id").join(known, ["last_4", "end_user_id"], "left_semi")
     from_wallets = first_per_key(settled.select("payment_id", "last_4"), "payment_id", [F.col("last_4").asc_nulls_last()])
     return from_cards.unionByName(from_wallets).distinct()
 
@@ -406,7 +407,8 @@ def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str
 
     x = parked(cb.join(pay, "payment_id")).withColumns({
         "login_ip": text_at("login", "ip"), "created_on": F.to_date("created_at"), "posted_on": F.to_date("posted_at")})
-    em = t["enrich_maxmind"].select(
+    first, last = x.agg(F.min("created_on"), F.max("created_on")).first()
+    em = t["enrich_maxmind"].filter(F.to_date("inserted_at").between(F.lit(first), F.lit(last))).select(
         text_at("request_data", "bin").alias("bin"), text_at("request_data", "i").alias("login_ip"),
         F.to_date("inserted_at").alias("created_on"), text_at("data", "credit_card", "issuer", "name").alias("issuer"))
     em = near(em, x, "bin", "login_ip", "created_on").distinct()

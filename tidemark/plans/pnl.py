@@ -14,6 +14,7 @@ from tidemark.functions.temporal import ntz
 from tidemark.functions.text import code_map
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.running import global_row_number
+from tidemark.sinks.tables import parked
 
 Tables = Mapping[str, DataFrame]
 
@@ -50,10 +51,16 @@ def card_facts(t: Tables) -> DataFrame:
         processing_region("bin_country").alias("region"))
 
 
-def captured_payments(t: Tables, start: object, end: object, skip_processors: Sequence[str]) -> DataFrame:
-    """Settled payments of the period with their processor and client."""
+def settled_payments(t: Tables, start: object, end: object) -> DataFrame:
+    """The period's settled payments, put aside: every side table is cut down to them."""
     p = t["payments"].filter((F.col("created_at") >= ntz(start)) & (F.col("created_at") < ntz(end)) & (F.col("status") == 2))
-    capture = t["proc_requests"].filter(
+    return parked(p.select("id", "created_at", "currency", "usd_rate", "bin", "partner_end_user_id", "total_amount", "total_amount_usd"))
+
+
+def captured_payments(t: Tables, p: DataFrame, skip_processors: Sequence[str]) -> DataFrame:
+    """Settled payments with their processor and client."""
+    requests = t["proc_requests"].join(p.select(F.col("id").alias("payment_id")), "payment_id", "left_semi")
+    capture = requests.filter(
         (F.col("tx_type") == "capture-authorization") & (F.col("status") == "success") & ~F.col("processor").isin(*skip_processors)
     ).select(F.col("payment_id"), "processor", text_at("raw_response", "bin").alias("answer_bin"))
     client = t["partner_end_users"].select(F.col("id").alias("partner_end_user_id"), "partner_id")
@@ -75,9 +82,9 @@ def profit_and_loss(t: Tables, start: object, end: object, today: object | None
     All side tables are cut down to the period's payments and reduced to one row per
     payment before the joins, which all run on the payment id.
     """
-    pay = captured_payments(t, start, end, skip_processors)
-    period = t["payments"].filter((F.col("created_at") >= ntz(start)) & (F.col("created_at") < ntz(end)) & (F.col("status") == 2))
-    period = period.select(F.col("id").alias("payment_id"))
+    settled = settled_payments(t, start, end)
+    pay = captured_payments(t, settled, skip_processors)
+    period = settled.select(F.col("id").alias("payment_id"))
 
     def of_period(df: DataFrame, key: str = "payment_id") -> DataFrame:
         return df.withColumnRenamed(key, "payment_id").join(period, "payment_id", "left_semi")

@@ -131,7 +131,7 @@ def authentication_funnel(t: Tables, since: object) -> DataFrame:
     Several challenges of one authentication do not multiply its row.
     """
     low = ntz(since)
-    window = t["payments_auth_requests"].filter(F.col("created_at") > low).select("auth_request_id")
+    window = parked(t["payments_auth_requests"].filter(F.col("created_at") > low).select("auth_request_id"))
     links = parked(_newest_links(near(t["auth_request_threeds"], window, "auth_request_id"), low))
     routed = near(t["auth_request_proc_requests"], window, "auth_request_id").select("auth_request_id", "proc_request_id")
     linked = (
