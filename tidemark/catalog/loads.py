@@ -149,8 +149,8 @@ def high_volume_quiet_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Fewer rows than the cap: the closed minutes are loaded; what lies in the open ones only waits."""
     e = table(spark, sf, "events")
     closed = batches.incremental_extract(e, "ts", "2024-01-29 12:00:00", 1_000_000_000, volume="high").select("event_id", "ts")
-    newest = e.agg(F.date_trunc("minute", F.max("ts").cast("timestamp")).cast("timestamp_ntz").alias("m"))
-    open_only = e.join(newest, e["ts"] >= F.col("m")).select(*e.columns)
+    newest = e.agg(F.date_trunc("minute", F.max("ts").cast("timestamp")).cast("timestamp_ntz")).first()[0]
+    open_only = e.filter(F.col("ts") >= F.lit(newest))
     return closed.unionByName(batches.incremental_extract(open_only, "ts", None, 1_000_000_000, volume="high").select("event_id", "ts"))
 
 
