@@ -87,11 +87,14 @@ def test_mixing_samples_with_calibrated_probabilities(spark):
     have = Counter()
     for r in every:
         have[cell(r)] += r.n
-    ratio = {k: v / have[k] for k, v in mixing.rake(have, mixing.TARGETS).items()}
-    top = max(ratio.values())
+    chance = mixing.probabilities(have, mixing.TARGETS)
+    shares = mixing.rake(have, mixing.TARGETS)
+    assert sum(shares[k] for k in shares if chance[k] == 1.0) - max(shares[k] for k in shares if chance[k] == 1.0) <= 0.02
+    ratio = {k: shares[k] / have[k] / chance[k] for k in shares if chance[k] < 1.0}
+    assert max(ratio.values()) / min(ratio.values()) < 1 + 1e-9  # one scale for all that is not cut off
     by_id, rows = {r.doc_id: r for r in every}, got.collect()
-    assert all(abs(r.probability - ratio[cell(by_id[r.doc_id])] / top) < 1e-9 for r in rows)
-    expected = sum(ratio[cell(r)] / top for r in every)
+    assert all(abs(r.probability - chance[cell(by_id[r.doc_id])]) < 1e-9 for r in rows)
+    expected = sum(chance[cell(r)] for r in every)
     assert abs(len(rows) - expected) < 5 * expected ** 0.5 and len({r.doc_id for r in rows}) == len(rows)
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "src0", 0), (1, "", "en", "src0", 0)], docs.schema)
     assert mixing.mixed_documents(odd).columns == docs.columns and mixing.mixed_documents(odd).count() in (0, 1, 2, 3)
