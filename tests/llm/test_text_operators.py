@@ -199,6 +199,21 @@ def test_near_copies_are_the_components_of_all_alike_pairs(spark, corpus, small,
     assert nearcopies.classes(frame(spark, [])).count() == 0
 
 
+def test_copies_that_are_alike_to_their_base_only_are_one_class(spark):
+    rng, rows, size = random.Random(12), [], {}
+    for group, n in enumerate([3, 20, 120]):
+        base = [f"g{group}w{rng.randrange(10**6)}" for _ in range(400)]
+        for i in range(n):
+            w = list(base)
+            for at in rng.sample(range(4, 396, 7), 8) if i != n // 2 else []:  # the base has a middle id
+                w[at] = f"new{rng.randrange(10**9)}"
+            rows.append((1000 * group + i, " ".join(w)))
+        size[1000 * group] = n
+    assert not alike(rows[0][1], rows[2][1]) and alike(rows[0][1], rows[1][1])
+    got = nearcopies.classes(frame(spark, rows).repartition(4)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, i // 1000 * 1000, size[i // 1000 * 1000]) for i, _ in rows}
+
+
 def test_common_length_is_the_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(60):
