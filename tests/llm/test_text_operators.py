@@ -289,6 +289,23 @@ def test_plan_keeps_every_limit(rule):
         assert sum(x for _, x in own) <= 100 and len(own) <= 4 and sum(x * x for _, x in own) <= 3000
 
 
+@pytest.mark.parametrize("counts", [{1: 40_960}, {5: 8190}, {i: 3000 for i in range(1, 17)}, {4090: 10, 4000: 10, 1: 1020}])
+def test_plan_wastes_no_sequence_on_short_pieces(counts):
+    plan = packing.plan(counts)
+    got, last = Counter(), 0
+    for length, _, n, first, offset in plan.tolist():
+        got[length] += n
+        last = max(last, first + n)
+        assert offset + length <= 4096
+    least = -(-8190 // 819) if counts == {5: 8190} else -(-sum(k * v for k, v in counts.items()) // 4096)
+    assert got == counts and last == least
+
+
+def test_short_texts_are_packed_by_their_tokens(spark):
+    rows = [(i, None if i % 2 else "") for i in range(9000)]
+    assert packing.packed_documents(frame(spark, rows)).select("sequence_id").distinct().count() == 3
+
+
 def test_sha_is_of_the_kept_words(spark):
     r = entry.queries()["op2_substring_dedup"](spark, SMALL).where(F.col("n_removed") == 0).first()
     text = duckdb.connect().execute(f"SELECT text FROM '{SMALL}/documents.parquet' WHERE doc_id = {r.doc_id}").fetchall()[0][0]

@@ -3,7 +3,8 @@
 A piece asks for its tokens, one document and the square of its tokens; a sequence has room
 for so many of each.  Pieces go, largest first, to the open sequence that fits best under
 all three: the one with the smallest weighted norm of what stays free (``rule="norm"``), or
-the largest weighted dot product of asked and free (``rule="dot"``).
+the largest weighted dot product of asked and free (``rule="dot"``).  With the default limits documents and
+cost never bind: pieces within the tokens cannot reach them.
 
 Pieces of one length are interchangeable, so the plan needs only how many there are of each
 length: at most ``size`` numbers, counted on Spark over all pieces.  The plan states which
@@ -125,23 +126,23 @@ def plan(counts: dict[int, int], size: int = SIZE, max_docs: int | None = None,
          weights: tuple[float, float, float] = (1.0, 0.02, 0.02), rule: str = "norm") -> np.ndarray:
     """Places for the pieces of every length: rows (length, first rank, ranks, first sequence, offset).
 
-    Sequences in the same state (what is free of each kind) are handled together.  Cost is
-    counted in 256ths of the limit, rounded up, which keeps the states few and the limit kept.
+    Sequences in the same state (what is free of each kind) are handled together.  Documents and
+    cost are whole numbers; a limit that no pieces within the tokens can reach is left out of the state.
     """
     docs_room, cost_room = max_docs or size, max_cost or size * size
-    unit = max(1, cost_room // 256)
-    room = np.array([size, docs_room, cost_room // unit], np.int64)
-    scale = np.array(weights) / np.maximum(room, 1) ** (2 if rule == "norm" else 2)
-    states: dict[tuple[int, int, int], list[list[int]]] = {}
-    index: list[tuple[int, int, int]] = []
-    free = np.zeros((64, 3), np.int64)
+    binds = np.array([True, docs_room < size, cost_room < size * size])
+    room = np.array([size, docs_room, cost_room], np.int64)[binds]
+    scale = np.array(weights)[binds] / np.maximum(room, 1).astype(np.float64) ** 2
+    states: dict[tuple[int, ...], list[list[int]]] = {}
+    index: list[tuple[int, ...]] = []
+    free = np.zeros((64, len(room)), np.int64)
     alive = np.zeros(64, bool)
-    where: dict[tuple[int, int, int], int] = {}
+    where: dict[tuple[int, ...], int] = {}
     out, next_sequence = [], 0
 
-    def put(state: tuple[int, int, int], first: int, n: int) -> None:
+    def put(state: tuple[int, ...], first: int, n: int) -> None:
         nonlocal free, alive
-        if state[0] == 0 or state[1] == 0:
+        if 0 in state:
             return
         if state not in where:
             if len(index) == len(free):
@@ -154,7 +155,7 @@ def plan(counts: dict[int, int], size: int = SIZE, max_docs: int | None = None,
         states[state].append([first, n])
 
     for length in sorted(counts, reverse=True):
-        ask = np.array([length, 1, -(-length * length // unit)], np.int64)
+        ask = np.array([length, 1, length * length], np.int64)[binds]
         if length > size or (ask > room).any():
             raise ValueError(f"a piece of {length} tokens fits no sequence")
         left, rank = counts[length], 0
