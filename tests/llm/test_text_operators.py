@@ -156,6 +156,19 @@ def test_repeated_lines_go_and_first_ones_stay(spark):
     assert out.count() == len(rows) and lines.without_repeats(frame(spark, [])).count() == 0
 
 
+def test_documents_of_null_and_repeated_ids_lose_their_own_repeats_only(spark):
+    rows = [(1, "head\nsecond"), (None, "x1\nsecond\nx3"), (None, "y1\ny2\ny3\nx3"), (None, "z1\nz2\nx3"), (7, "a1\nsecond\na3"), (7, "b1\nb2\na3")]
+    got = Counter(x for r in lines.without_repeats(frame(spark, rows)).collect() for x in r.text.split("\n"))
+    assert got == Counter({x for _, t in rows for x in t.split("\n")})
+
+
+def test_near_copies_of_null_and_repeated_ids(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("a") + " end"), (4, text("c")), (4, text("d")), (5, text("c") + " end"), (6, text("d") + " end")]
+    got = Counter((r.doc_id, r.class_id, r.class_size) for r in nearcopies.classes(frame(spark, rows)).collect())
+    assert got == Counter([(None, None, 2), (None, None, 1), (None, None, 2), (4, 4, 4), (4, 4, 4), (5, 4, 4), (6, 4, 4)])
+
+
 def alike(a, b):
     def grams(t):
         w = words(t)

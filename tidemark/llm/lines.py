@@ -14,7 +14,8 @@ characters, modulo 4 in two bits each, reject pairs inside the join: one edit ch
 Lines are exchanged once with their text; index and probes carry hashes.
 
 Defined results: a null text has no lines; lines without a word are never compared and stay; lines
-shorter than ``min_chars`` are compared exactly only; rows of one id are one document, a null id is
+shorter than ``min_chars`` are compared exactly only; a document is an id and a text, in this order, so rows of
+one id with other texts, or of null ids, are documents of their own and equal rows are one; a null id is
 larger than any other; distinct lines are named by a 64-bit hash; an empty table gives no rows.
 Everything on the way is built-in functions.
 """
@@ -56,10 +57,15 @@ def _difference(a: Column, b: Column) -> Column:
     return F.bit_count(some) + F.bit_count(two)
 
 
+def _document(key: str, text: str) -> list[Column]:
+    """What names a document: its id and a hash of its text."""
+    return [F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("copy")]
+
+
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, at, line, h): the lines with a word, their place and hash."""
-    return (docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-            .where(F.col("line").rlike(WORD_CHARACTER)).select("id", "at", "line", F.xxhash64("line").alias("h")))
+    """(id, copy, at, line, h): the lines with a word, their place and hash."""
+    return (docs.select(*_document(key, text), F.posexplode(F.split(text, "\n")).alias("at", "line"))
+            .where(F.col("line").rlike(WORD_CHARACTER)).select("id", "copy", "at", "line", F.xxhash64("line").alias("h")))
 
 
 def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> DataFrame:
@@ -91,15 +97,15 @@ def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> Dat
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """(id, at, class_id, first, links) for every line with a word.
+    """(id, copy, at, class_id, first, links) for every line with a word.
 
-    ``class_id`` names the class, ``first`` is the (id, at) of its first line, ``links`` the number of near
+    ``class_id`` names the class, ``first`` is the (id, copy, at) of its first line, ``links`` the number of near
     copies among the distinct lines.
     """
     lines = lines_of(docs, key, text)
     links = kept(near_lines(lines, **how))
-    places = lines.select("id", "at", "h")
-    firsts = places.groupBy("h").agg(F.min(F.struct("id", "at")).alias("first"))
+    places = lines.select("id", "copy", "at", "h")
+    firsts = places.groupBy("h").agg(F.min(F.struct("id", "copy", "at")).alias("first"))
     roots = kept(components(links).select(F.col("node").alias("h"), "root"))
     degree = links.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count("*").alias("links"))
     linked = kept(firsts.join(roots, "h").join(degree, "h"))
@@ -108,21 +114,21 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **how
     # written, so that the lines' side is a plain exchange whose hot lines can be split
     known = kept(firsts.join(linked.select("h", "root", "links", F.col("first").alias("earlier")), "h", "left").select(
         "h", F.coalesce("root", "h").alias("class_id"), F.coalesce("earlier", "first").alias("first"), F.coalesce("links", F.lit(0)).alias("links")))
-    return places.join(known, "h").select("id", "at", "class_id", "first", "links")
+    return places.join(known, "h").select("id", "copy", "at", "class_id", "first", "links")
 
 
 def _gone() -> Column:
-    return (F.col("first.id") != F.col("id")) | (F.col("first.at") != F.col("at"))
+    return (F.col("first.id") != F.col("id")) | (F.col("first.copy") != F.col("copy")) | (F.col("first.at") != F.col("at"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text; ``n_chars`` follows if there is one."""
-    if clash := {"_id", "_gone"} & set(docs.columns):
+    if clash := {"_id", "_copy", "_gone"} & set(docs.columns):
         raise ValueError(f"columns of the input clash with results: {sorted(clash)}")
-    gone = (line_classes(docs, key, text, **how).where(_gone()).groupBy(F.col("id").alias("_id"))
+    gone = (line_classes(docs, key, text, **how).where(_gone()).groupBy(F.col("id").alias("_id"), F.col("copy").alias("_copy"))
             .agg(F.collect_set("at").alias("_gone")))
     left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = docs.select("*", F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("_id")).join(gone, "_id", "left")
+    out = docs.select("*", *[c.alias(n) for c, n in zip(_document(key, text), ("_id", "_copy"), strict=True)]).join(gone, ["_id", "_copy"], "left")
     out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(
@@ -138,11 +144,15 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @register("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    per = line_classes(docs).groupBy("id").agg(
-        F.count("*").alias("n_lines"), F.sum(_gone().cast("long")).alias("n_removed"), F.sum("links").alias("n_links"),
-        F.countDistinct("class_id").alias("n_classes"), F.array_sort(F.collect_list(F.when(_gone(), F.col("at")))).alias("removed"))
-    ids = docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("id"))
+    # a set, as equal rows are one document
+    line = F.struct("at", "class_id", "links", _gone().alias("gone"))
+    per = line_classes(docs).groupBy("id", "copy").agg(F.collect_set(line).alias("own")).select(
+        "id", "copy", F.size("own").cast("long").alias("n_lines"), F.size(F.filter("own", lambda x: x["gone"])).cast("long").alias("n_removed"),
+        F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["links"]).alias("n_links"),
+        F.size(F.array_distinct(F.col("own.class_id"))).cast("long").alias("n_classes"),
+        F.array_sort(F.transform(F.filter("own", lambda x: x["gone"]), lambda x: x["at"])).alias("removed"))
+    ids = docs.select("doc_id", *_document("doc_id", "text"))
     zero = F.lit(0).cast("long")
-    return ids.join(per, "id", "left").select(
+    return ids.join(per, ["id", "copy"], "left").select(
         "doc_id", *[F.coalesce(c, zero).alias(c) for c in ("n_lines", "n_removed", "n_links", "n_classes")],
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
