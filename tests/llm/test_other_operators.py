@@ -124,6 +124,15 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<body style="overflow: hidden"><article style=\'overflow: hidden\'><p>in</p></article></body>', "in"),
+    ('<p>see <a href=/x title="Hidden gems">hidden gems</a> here</p>', "see hidden gems here"), ('<div aria-label="hidden"><p>in</p></div>', "in"),
+    ('<div data-x="a id=comments class=ad"><p>in</p></div>', "in"),
+    ("<p>in</p><p hidden>out</p><p HIDDEN=''>out</p><p data-x='1'hidden>out</p><p title=a class=ad>out</p><p class = 'x ad'>out</p>", "in")])
+def test_attributes_count_by_their_own_name(page, text):
+    assert main_text(page) == text
+
+
 def test_extraction_keeps_rows_and_columns(spark):
     df = spark.createDataFrame([(1, None, "e"), (1, None, "e"), (None, "<p>x", "e")], "page_id long, html string, extra string")
     assert sorted((r.extra, r.text, r.n_chars) for r in extracted(df).collect()) == [("e", "", 0), ("e", "", 0), ("e", "x", 1)]

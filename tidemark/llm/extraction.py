@@ -44,7 +44,8 @@ SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*>""", re.S)
-NAMED = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A whole attribute, with its value; quoted text that no name precedes is one match without a name.
+ATTRIBUTE = re.compile(r""""[^"]*"|'[^']*'|([^\s/>"'=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
 class _Element:
@@ -59,7 +60,9 @@ def _is_other(tag: str, attributes: str, within: bool) -> bool:
         return True
     if not attributes:
         return False
-    for name, *values in NAMED.findall(attributes):
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id", "role", "hidden"):
+            continue
         value = "".join(values).lower()
         if name.lower() == "hidden" or name.lower() == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog"):
             return True
