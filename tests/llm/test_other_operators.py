@@ -161,6 +161,15 @@ def test_quotations_give_threads_in_reply_order(spark):
     assert quotations.linked(df.limit(0)).count() == 0
 
 
+def test_short_passages_are_linked_within_their_conversation(spark):
+    rows = [(1, 0, "What about Monday?"), (1, 1, "Or rather Tuesday?\nI am free."), (1, 2, "Fine."), (1, 3, "> what about Monday?\nNo."), (1, 4, "> I am free.\nGood."),
+            (1, 5, "> \u5468\u4e00\u600e\u4e48\u6837\nYes."), (2, 0, "\u5468\u4e00\u600e\u4e48\u6837"), (2, 1, "Hm."), (2, 2, "> \u5468\u4e00\u600e\u4e48\u6837\nYes."), (3, 0, "> What about Monday?\nx")]
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn, r.n_linked) for r in quotations.linked(
+        spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert (got[1, 3], got[1, 4], got[2, 2]) == ((1, 0, 1), (1, 1, 1), (2, 0, 1))
+    assert (got[1, 5], got[3, 0]) == ((1, 4, 0), (None, None, 0))  # short ones name no text of another conversation
+
+
 def test_conversations_without_quotations_stay_as_they_are(spark):
     got = entry.queries()["op4_quotation_linking"](spark, SMALL)
     before = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{SMALL}/conversations.parquet").collect()}

@@ -13,8 +13,8 @@ Offers are reduced to one message per hash before the join, so that a phrase in
 
 Messages are ordered by (conversation, turn), nulls last; a message answers earlier ones only, so a
 thread in this order is in reply order.  Defined results: a null text is empty; a message of quotations only
-has an empty text and stays; passages of fewer than ``min_chars`` normalised characters are
-not linked, but taken out; repeated rows of one (conversation, turn) are kept, and named as one message;
+has an empty text and stays; passages and lines of fewer than ``min_chars`` normalised characters are
+linked within their conversation only, and those without a letter or digit are not, but all are taken out; repeated rows of one (conversation, turn) are kept, and named as one message;
 an empty table gives no rows.  Everything on the way is built-in functions.
 """
 
@@ -48,12 +48,12 @@ def passages(messages: DataFrame) -> DataFrame:
             .select("conv", "turn", "copy", "level", "first", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text")))
 
 
-def _hashes(text: Column, min_chars: int) -> Column:
+def _hashes(text: Column) -> Column:
     """(hash, characters) of the whole text and of its lines."""
     whole = F.array(normalised(text))
     each = F.transform(F.split(text, "\n"), normalised)
-    long_enough = F.filter(F.array_distinct(F.concat(whole, each)), lambda x: F.char_length(x) >= min_chars)
-    return F.transform(long_enough, lambda x: F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("chars")))
+    some = F.filter(F.array_distinct(F.concat(whole, each)), lambda x: x != "")
+    return F.transform(some, lambda x: F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("chars")))
 
 
 def linked(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", text: str = "text",
@@ -73,16 +73,18 @@ def linked(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn
            .select(*me, "copy", F.transform("p", lambda x: x["text"]).alias("p")))
     own = own.select(*me, "copy", F.trim(F.regexp_replace(F.array_join("p", "\n"), r"\n{3,}", "\n\n"), F.lit(" \n\t")).alias("text"), "p")
     offered = (own.select(*me, F.explode(F.array_distinct(F.flatten(F.concat(
-        F.array(_hashes(F.col("text"), min_chars)), F.transform("p", lambda x: _hashes(x, min_chars)))))).alias("o"))
-        .select("o.h", F.struct(*me).alias("m")))
-    # one message per hash, overall and within each conversation
-    anywhere = kept(offered.groupBy("h").agg(F.min("m").alias("everywhere")))
+        F.array(_hashes(F.col("text"))), F.transform("p", _hashes))))).alias("o"))
+        .select("o.h", "o.chars", F.struct(*me).alias("m")))
+    # one message per hash, overall and within each conversation; a short text does not tell conversations apart
+    anywhere = kept(offered.where(F.col("chars") >= min_chars).groupBy("h").agg(F.min("m").alias("everywhere")))
     within = kept(offered.groupBy("h", F.col("m.conv").alias("conv")).agg(F.min("m").alias("here")))
-    asked = parts.where("level > 0").select(*me, "level", "first", F.explode(_hashes(F.col("text"), min_chars)).alias("o")).select(
+    asked = parts.where("level > 0").select(*me, "level", "first", F.explode(_hashes(F.col("text"))).alias("o")).select(
         *me, "level", "first", "o.h", "o.chars")
     before = lambda c: F.when(F.col(c) < F.struct(*me), F.col(c))
-    found = kept(asked.join(anywhere, "h").join(within, ["h", "conv"], "left")
-                 .select(*me, "level", "first", "chars", F.coalesce(before("here"), before("everywhere")).alias("m")).where("m is not null"))
+    long = asked.where(F.col("chars") >= min_chars).join(anywhere, "h").join(within, ["h", "conv"], "left")
+    short = asked.where(F.col("chars") < min_chars).join(within, ["h", "conv"])
+    found = kept(long.select(*me, "level", "first", "chars", F.coalesce(before("here"), before("everywhere")).alias("m"))
+                 .unionByName(short.select(*me, "level", "first", "chars", before("here").alias("m"))).where("m is not null"))
     answer = (found.groupBy(*me).agg(F.max(F.struct(-F.col("level"), "chars", "m")).alias("best"), F.countDistinct("first").alias("n_linked"))
               .select(*me, F.col("best.m").alias("m"), "n_linked"))
     quotes = parts.where("level > 0").groupBy(*me, "copy").agg(F.count("*").alias("n_quotes"))
