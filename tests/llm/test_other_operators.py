@@ -78,6 +78,11 @@ def test_raking_meets_all_margins():
     assert mixing.rake({}, targets) == {}
 
 
+def test_raking_tells_of_margins_that_cannot_be_met():
+    with pytest.warns(UserWarning, match="off its target"):
+        mixing.rake({("p", "x"): 5.0, ("q", "y"): 5.0}, {"a": {"p": 0.9, "q": 0.1}, "b": {"x": 0.5, "y": 0.5}})
+
+
 def test_mixing_samples_with_calibrated_probabilities(spark):
     docs = spark.read.parquet(f"{OLD}/documents.parquet")
     got = mixing.mixed_documents(docs, with_probability=True)
