@@ -7,7 +7,8 @@ import importlib
 import corpus_pipeline
 from tidemark.llm.common import ORACLES, QUERIES, register
 
-for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies", "lines", "quotations"):
+for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies", "lines", "quotations",
+           "repair", "archives"):
     importlib.import_module(f"tidemark.llm.{_m}")
 
 
