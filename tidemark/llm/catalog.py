@@ -8,7 +8,7 @@ import corpus_pipeline
 from tidemark.llm.common import ORACLES, QUERIES, register
 
 for _m in ("quality", "sharding", "packing", "substrings", "extraction", "mixing", "neighbours", "nearcopies", "lines", "quotations",
-           "repair", "archives"):
+           "repair", "archives", "lexical"):
     importlib.import_module(f"tidemark.llm.{_m}")
 
 
