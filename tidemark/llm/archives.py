@@ -236,7 +236,13 @@ def normalised(records: DataFrame, source: str, target: str) -> DataFrame:
         yield from _in_batches(all_rows(), _INDEX)
 
     columns = ["archive", "seq", "refers_archive", "refers_seq", "refers_page"]
-    return records.select(*columns).repartition("archive").sortWithinPartitions("archive", "seq").mapInArrow(rewrite, INDEX)
+    return _by_archive(records.select(*columns), "seq").mapInArrow(rewrite, INDEX)
+
+
+def _by_archive(rows: DataFrame, order: str) -> DataFrame:
+    """Rows in order, about one partition for each archive: the rows are few and small, the archives they stand for are not."""
+    n = rows.select("archive").distinct().count()
+    return rows.repartition(max(1, n), "archive").sortWithinPartitions("archive", order)
 
 
 def normalised_files(files: DataFrame, target: str) -> DataFrame:
@@ -282,7 +288,7 @@ def read_back(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame
         yield from _in_batches(all_rows(), _READ, 256 if payloads else 4096)
 
     kinds = {"int64": "bigint", "string": "string", "binary": "binary"}
-    return index.select("archive", "offset", "length").mapInArrow(read, ", ".join(f"{f.name} {kinds[str(f.type)]}" for f in _READ))
+    return _by_archive(index.select("archive", "offset", "length"), "offset").mapInArrow(read, ", ".join(f"{f.name} {kinds[str(f.type)]}" for f in _READ))
 
 
 _ORACLE = """

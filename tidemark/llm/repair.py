@@ -337,7 +337,45 @@ def damaged(rows: DataFrame) -> DataFrame:
         F.when(lot == 3, 2).otherwise(1).alias("copies"), lot.alias("lot")).where("lot <> 0").drop("lot")
 
 
-@register("op11_lightest_derivation")
+# The same by dynamic programming: per conversation a fold over its rows of the best (cost, audit) of each state.
+_ORACLE = """
+WITH said AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+lots AS (SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda ch: ascii(ch)::BIGINT),
+  lambda crc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295::BIGINT), 4294967295) % 20 AS lot FROM said),
+hurt AS (SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+  CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE lot WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM lots),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place FROM hurt),
+judged AS (SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair,
+  CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+folded AS (SELECT conv_id, list_reduce(list({'initial': initial, 'fault': fault} ORDER BY place), lambda z, r: CASE WHEN r.fault IN ('blank', 'duplicate') THEN
+  {'q0': {'c': z.q0.c + 2, 'a': z.q0.a || 'D'}, 'q1': {'c': z.q1.c + 2, 'a': z.q1.a || 'D'}, 'q2': {'c': z.q2.c + 2, 'a': z.q2.a || 'D'}, 'q3': {'c': z.q3.c + 2, 'a': z.q3.a || 'D'}} ELSE
+  list_transform([list_min([z.q2, {'c': z.q0.c + 5, 'a': z.q0.a || 'I'}, {'c': z.q1.c + 5, 'a': z.q1.a || 'I'}, {'c': z.q3.c + 5, 'a': z.q3.a || 'I'}])], lambda u:
+  list_transform([list_min([z.q3, {'c': u.c + 5, 'a': u.a || 'I'}])], lambda w:
+  list_transform([CASE r.fault WHEN 'truncated' THEN 5 ELSE 0 END], lambda t: {
+    'q0': {'c': z.q0.c + 2, 'a': z.q0.a || 'D'},
+    'q1': list_min([{'c': z.q1.c + 2, 'a': z.q1.a || 'D'}, CASE r.initial WHEN 's' THEN {'c': z.q0.c + t, 'a': z.q0.a || 'K'} END]),
+    'q2': list_min([{'c': u.c + 2, 'a': u.a || 'D'}] || list_transform([z.q0, z.q1, w], lambda o:
+      {'c': o.c + t + CASE r.initial WHEN 'u' THEN 0 ELSE 1 END, 'a': o.a || CASE r.initial WHEN 'u' THEN 'K' ELSE 'R' END})),
+    'q3': list_min([{'c': w.c + 2, 'a': w.a || 'D'}, {'c': u.c + t + CASE r.initial WHEN 'a' THEN 0 ELSE 1 END, 'a': u.a || CASE r.initial WHEN 'a' THEN 'K' ELSE 'R' END}])})[1])[1])[1] END,
+  {'q0': {'c': 0::BIGINT, 'a': ''}, 'q1': {'c': 1000000000::BIGINT, 'a': ''}, 'q2': {'c': 1000000000::BIGINT, 'a': ''}, 'q3': {'c': 1000000000::BIGINT, 'a': ''}}) AS z FROM judged GROUP BY conv_id),
+ended AS (SELECT conv_id, list_min([z.q0, z.q3, {'c': list_min([z.q2, {'c': z.q0.c + 5, 'a': z.q0.a || 'I'}, {'c': z.q1.c + 5, 'a': z.q1.a || 'I'}]).c + 5,
+  'a': list_min([z.q2, {'c': z.q0.c + 5, 'a': z.q0.a || 'I'}, {'c': z.q1.c + 5, 'a': z.q1.a || 'I'}]).a || 'I'}]) AS best FROM folded),
+steps AS (SELECT conv_id, unnest(string_split(best.a, '')) AS edit, unnest(range(len(best.a))) AS spot FROM ended WHERE best.a <> ''),
+counted AS (SELECT *, CASE WHEN edit <> 'I' THEN count(CASE WHEN edit <> 'I' THEN 1 END) OVER w END AS place, count(CASE WHEN edit <> 'D' THEN 1 END) OVER w AS nth FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY spot)),
+lined AS (SELECT c.*, j.role, j.text, max(CASE WHEN nth = 1 AND edit = 'K' AND j.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c.conv_id) AS has_system
+  FROM counted c LEFT JOIN judged j ON c.conv_id IS NOT DISTINCT FROM j.conv_id AND c.place = j.place),
+texts AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role ELSE CASE (nth - has_system) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY nth) AS text
+  FROM lined WHERE edit <> 'D' GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+  count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE place > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM ids i LEFT JOIN counts c ON i.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON i.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN texts t ON i.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+
+@register("op11_lightest_derivation", _ORACLE)
 def op11_lightest_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return Repair(damaged(rows), copies=F.col("copies"), conversations=rows).digests()
