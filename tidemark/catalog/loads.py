@@ -16,7 +16,7 @@ from tidemark.operators import loads
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.running import ordered_listing
 from tidemark.session import shared_folder
-from tidemark.sinks import tables
+from tidemark.sinks import tables, versions
 from tidemark.sinks.exports import csv_record, json_record
 from tidemark.sources import batches, files
 from tidemark.sources.tables import read_table
@@ -176,6 +176,19 @@ def paged_read(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, pages)
 
 
+@register("paged_read_ties", """
+WITH v AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), c AS (SELECT k, n, sum(n) OVER (ORDER BY k) AS upto FROM v),
+p AS (SELECT k, n, upto, (upto - 1) // 40 AS raw FROM c), q AS (SELECT *, k = min(k) OVER w AS lead, sum(n) OVER w > 40 AND count(*) OVER w > 1 AS long FROM p WINDOW w AS (PARTITION BY raw)),
+pages AS (SELECT k, dense_rank() OVER (ORDER BY raw, long AND NOT lead) AS page FROM q)
+SELECT page, count(*) AS n, min(o_custkey) AS first_key, max(o_custkey) AS last_key FROM orders JOIN pages ON k = o_custkey WHERE page <= 60 GROUP BY page""")
+def paged_read_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """The first sixty pages of a source with many rows of one order value; no value is in two pages."""
+    o = table(spark, sf, "orders").select("o_custkey")
+    pages = [p.agg(F.count(F.lit(1)).alias("n"), F.min("o_custkey").alias("first_key"), F.max("o_custkey").alias("last_key")).withColumn("page", F.lit(n).cast("long"))
+             for n, p in zip(range(1, 61), batches.batches(o, "o_custkey", 40))]
+    return reduce(DataFrame.unionByName, pages).filter("n > 0")
+
+
 @register("event_files", """
 SELECT event_type, count(*) AS n, 'events.parquet' AS file_name, true AS has_load_time FROM events GROUP BY event_type""")
 def event_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -435,6 +448,44 @@ def dedupe_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("event_id", "value", "source_file")
 
 
+@register("conditional_upsert_partitions", """
+SELECT event_id, ts, event_type, CASE WHEN event_type = 'click' AND event_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-20' THEN value + 100 ELSE value END AS value
+FROM events WHERE event_id % 3 <> 0
+UNION ALL SELECT event_id, ts, 'new', value + 100 FROM events WHERE event_id % 3 = 0 AND event_id % 2 = 0 AND ts >= TIMESTAMP '2024-01-20'""")
+def conditional_upsert_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """New events come in, known ones change one column if they are clicks; only the batch's days are written."""
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    path = _by_day(spark, e.filter("event_id % 3 <> 0"), "ts")
+    batch = e.filter("ts >= timestamp_ntz'2024-01-20' and event_id % 2 = 0").select(
+        "event_id", "ts", F.lit("new").alias("event_type"), (F.col("value") + 100).alias("value"), F.to_date("ts").alias("day"))
+    tables.upsert_partitions(path, batch, "event_id", "day", ["value"], "event_type = 'click'")
+    return spark.read.parquet(path).select("event_id", "ts", "event_type", "value")
+
+
+@register("replaced_catalog_table", "SELECT o_orderkey, o_totalprice * 3 AS price FROM orders WHERE o_orderkey % 2 = 0")
+def replaced_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of the catalog replaced twice, the second time from itself."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    tables.replace_table(spark, o, name)
+    tables.replace_table(spark, o.withColumn("price", F.col("price") * 3), name)
+    tables.replace_table(spark, spark.table(name).filter("o_orderkey % 2 = 0"), name)
+    return spark.table(name)
+
+
+@register("replaced_catalog_partitions", """
+SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-12'
+UNION ALL SELECT event_id, value * 2, strftime(ts, '%Y-%m-%d') FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' AND event_id % 2 = 0""")
+def replaced_catalog_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days of a partitioned catalog table replaced; one of them has no rows left."""
+    name = f"days_{uuid.uuid4().hex}"
+    e = table(spark, sf, "events").select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    e.write.partitionBy("day").format("parquet").saveAsTable(name)
+    new = e.filter("day = '2024-01-10' and event_id % 2 = 0").withColumn("value", F.col("value") * 2)
+    versions.replace_partitions(spark, new, name, "day", ["2024-01-10", "2024-01-11"])
+    return spark.table(name)
+
+
 # --- files ------------------------------------------------------------------------------
 
 @register("dated_event_files", """

@@ -12,7 +12,8 @@ from tidemark.catalog.loads import NOW
 from tidemark.catalog.registry import register, table
 from tidemark.plans.sync import SyncRule, latest_run_status, pull_changes, run_sync, sync_table
 from tidemark.session import shared_folder
-from tidemark.streaming.ingest import event_stream, first_copies, ingest
+from tidemark.sinks.keyindex import KeyIndex
+from tidemark.streaming.ingest import event_stream, first_copies, ingest, ingest_newest
 
 _MERGE_RULE = SyncRule("public", "orders", load_method="merge", order_field="updated_at", key_field="id", batch_max_rows=4000,
                        backward_update_period="1 hour", columns_to_hash="email")
@@ -133,6 +134,25 @@ def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{run}/table").select(*columns, name)
 
 
+@register("event_stream_newest", """
+WITH copies AS (SELECT event_id, ts, value, 1 AS version FROM events UNION ALL SELECT event_id, ts + INTERVAL 1 DAY, value + 1, 2 FROM events WHERE event_id % 5 = 0
+  UNION ALL SELECT event_id, ts, value - 1, 0 FROM events WHERE event_id % 4 = 0)
+SELECT event_id, arg_max(ts, version) AS ts, arg_max(value, version) AS value, strftime(arg_max(ts, version), '%Y-%m-%d') AS day FROM copies GROUP BY event_id""")
+def streamed_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of events in three micro-batches, newer and older copies of some in later ones; a copy may lie on another day."""
+    run = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", F.lit(1).alias("version"))
+    newer = e.filter("event_id % 5 = 0").select("event_id", F.expr("ts + interval 1 day").alias("ts"), (F.col("value") + 1).alias("value"), F.lit(2).alias("version"))
+    older = e.filter("event_id % 4 = 0").select("event_id", "ts", (F.col("value") - 1).alias("value"), F.lit(0).alias("version"))
+    for part in (e, newer, older):
+        part.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).coalesce(1).write.mode("append").parquet(f"{run}/in")
+    shape = spark.read.parquet(f"{run}/in").schema
+    query = ingest_newest(event_stream(spark, f"{run}/in", shape, files_per_trigger=1).drop("source_file"), f"{run}/table", f"{run}/state",
+                          newest_by=["version"])
+    query.awaitTermination()
+    return spark.read.parquet(f"{run}/table").select("event_id", "ts", "value", F.col("day").cast("string").alias("day"))
+
+
 # --- written tables --------------------------------------------------------------------
 
 @register("sync_table_written", f"""
@@ -150,3 +170,26 @@ def sync_table_written(spark: SparkSession, sf: str) -> DataFrame:
     sync_table(rule, source.select("*", month), f"{folder}/table", f"{folder}/log", "month", datetime(2024, 1, 31), "pepper")
     states = spark.read.parquet(f"{folder}/log").agg(F.array_join(F.sort_array(F.collect_list("status"), asc=False), ",")).first()[0]
     return spark.read.parquet(f"{folder}/table").select("id", "price", "email", F.lit(states).alias("log"))
+
+
+@register("sync_moved_key", f"""
+WITH {_SYNC_SOURCE}, moved AS (SELECT id, price, updated_at + CASE WHEN id % 5 = 0 THEN INTERVAL 3 MONTH WHEN id % 11 = 0 THEN INTERVAL 400 DAY ELSE INTERVAL 1 SECOND END AS at
+  FROM source WHERE id % 3 <> 1)
+SELECT coalesce(m.id, t.id) AS id, CASE WHEN m.id IS NULL THEN t.price ELSE m.price END AS price, strftime(coalesce(m.at, t.updated_at), '%Y-%m') AS month, 0::BIGINT AS unknown_to_index
+FROM target t FULL JOIN moved m ON m.id = t.id""")
+def sync_moved_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of a merge rule whose updates fall into other months than the rows they replace."""
+    source, target = _sync_tables(spark, sf)
+    month = F.date_format("updated_at", "yyyy-MM").alias("month")
+    folder = f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"
+    target.select("*", month).write.partitionBy("month").parquet(f"{folder}/table")
+    at = F.col("updated_at")
+    later = (F.when(F.col("id") % 5 == 0, at + F.expr("interval 3 month")).when(F.col("id") % 11 == 0, at + F.expr("interval 400 day"))
+             .otherwise(at + F.expr("interval 1 second")))
+    moved = source.filter("id % 3 <> 1").withColumn("updated_at", later).select("*", month)
+    rule = SyncRule("public", "orders", load_method="merge", key_field="id")
+    for part in ("id % 2 = 0", "id % 2 = 1 or id % 5 = 0"):
+        sync_table(rule, moved.filter(part), f"{folder}/table", f"{folder}/log", "month", datetime(2024, 1, 31))
+    table_now = spark.read.parquet(f"{folder}/table")
+    unknown = KeyIndex(spark, f"{folder}/table", "id", "month").misplaced(table_now).count()
+    return table_now.select("id", "price", "month", F.lit(unknown).cast("long").alias("unknown_to_index"))

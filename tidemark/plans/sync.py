@@ -16,7 +16,9 @@ from tidemark.functions.sqlnames import register_functions
 from tidemark.functions.temporal import ntz
 from tidemark.operators import loads
 from tidemark.operators.latest import latest_per_key
-from tidemark.sinks.tables import merge_partitions, parked, partition_values, publish_partitions
+from tidemark.sinks import store
+from tidemark.sinks.keyindex import insert_keyed, merge_keyed, replace_keyed
+from tidemark.sinks.tables import finish_publishing, parked, partition_values, publish_partitions
 from tidemark.sources.batches import incremental_extract
 
 
@@ -93,22 +95,69 @@ def next_batch(rule: SyncRule, source: DataFrame, target: DataFrame, now: object
     return pseudonymise_columns(batch, rule.columns_to_hash, pepper, salt) if rule.columns_to_hash else batch
 
 
+#: What a rule's SELECT may start from besides its source: rows it spells out itself.
+_OWN_ROWS = ("OneRowRelation", "UnresolvedInlineTable", "LocalRelation")
+
+
+def _parts(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def foreign_relations(spark: SparkSession, sql: str, source: str) -> list[str]:
+    """What a statement reads or does besides selecting from ``source`` and its own common tables.
+
+    Found in the parsed statement, subqueries in expressions included, before anything is looked up.  Whatever
+    is not known to be harmless is named: tables, paths, table functions, names made from expressions, commands.
+    """
+    is_a = spark._jvm.py4j.reflection.TypeUtil.isInstanceOf
+    plans, found, common = [(spark._jsparkSession.sessionState().sqlParser().parsePlan(sql), frozenset())], [], "UnresolvedWith"
+    while plans:
+        plan, names = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        inner = _parts(plan.children())
+        if kind == common:
+            for cte in _parts(plan.cteRelations()):
+                plans.append((cte._2(), names))  # may name those before it
+                names = names | {cte._1().lower()}
+        if kind == "UnresolvedRelation":
+            name = plan.tableName().replace("`", "").lower()
+            if name != source.lower() and name not in names:
+                found.append(name)
+        elif not inner and kind not in _OWN_ROWS:
+            found.append(kind)
+        elif kind.endswith(("Statement", "Command")) or "Identifier" in kind or "TimeTravel" in kind or "Script" in kind:
+            found.append(kind)
+        plans += [(p, names) for p in inner]
+        expressions = _parts(plan.expressions())
+        while expressions:
+            e = expressions.pop()
+            if is_a("org.apache.spark.sql.catalyst.expressions.PlanExpression", e):
+                plans.append((e.plan(), names))
+            elif "Identifier" in e.getClass().getSimpleName():
+                found.append(e.getClass().getSimpleName())
+            expressions += _parts(e.children())
+    return found
+
+
 def projected(rule: SyncRule, batch: DataFrame) -> DataFrame:
     """The rule's own SELECT over the batch, if it has one.
 
     ``rule.sql`` is Spark SQL that reads from ``{source}`` and may call the functions of
-    ``functions.sqlnames``.  Other tables and unknown functions raise, so that a
-    mask that is not understood never lets a column pass.
+    ``functions.sqlnames``.  Other tables, views, paths and unknown functions raise, so that no rule reads
+    a column around its treatment and a mask that is not understood never lets one pass.
     """
     if not rule.sql:
         return batch
     if "{source}" not in rule.sql:
         raise ValueError(f"{rule.target}: the rule's SQL has to read from {{source}}")
     spark, view = batch.sparkSession, f"sync_source_{uuid.uuid4().hex}"
+    sql = rule.sql.replace("{source}", view)
+    if foreign := foreign_relations(spark, sql, view):
+        raise ValueError(f"{rule.target}: the rule's SQL may read from {{source}} only, not from {', '.join(sorted(set(foreign)))}")
     register_functions(spark)
     batch.createOrReplaceTempView(view)
     try:
-        return spark.sql(rule.sql.replace("{source}", view))
+        return spark.sql(sql)
     finally:
         spark.catalog.dropTempView(view)
 
@@ -137,18 +186,14 @@ def rows_to_append(rule: SyncRule, source: DataFrame, target: DataFrame, now: ob
     return loads.new_rows(target, batch, rule.key_field, newest_by=newest_by)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def sync_table(rule: SyncRule, source: DataFrame, path: str, log_path: str, partition: str, now: datetime, pepper: str = "",
                salt: str = "") -> int:
     """One run of a rule on a Parquet table partitioned by ``partition``, with its run log.
 
-    Insert-only appends, merge rewrites the batch's partitions, truncate-insert puts all
-    partitions in place and removes those without rows.  The log gets STARTED and then COMPLETED or FAILED.
-    Returns the number of rows loaded.
+    Insert-only appends, merge rewrites the partitions that hold a key of the batch or get one, truncate-insert puts all
+    partitions in place and removes those without rows.  An index of keys beside the table (``sinks.keyindex``) says
+    where a key is, so a row whose update falls into another partition leaves its old one.  What an interrupted run has left
+    is finished first.  The log gets STARTED and then COMPLETED or FAILED.  Returns the number of rows loaded.
     """
     spark = source.sparkSession
 
@@ -159,18 +204,20 @@ def sync_table(rule: SyncRule, source: DataFrame, path: str, log_path: str, part
     try:
         if rule.load_method not in loads.LOAD_METHODS:
             raise ValueError(f"load_method is not recognized: {rule.load_method}")
-        there = _exists(spark, path)
+        finish_publishing(spark, path)
+        there = store.exists(spark, path)
         target = spark.read.parquet(path) if there else projected(rule, source.limit(0))
         newest_by = [rule.order_field] if rule.order_field else None
         batch = parked(next_batch(rule, source, target, now, pepper, salt))
-        if rule.load_method == "truncate-insert":
+        if rule.load_method == "truncate-insert" and rule.key_field:
+            replace_keyed(path, batch, rule.key_field, partition)
+        elif rule.load_method == "truncate-insert":
             old = partition_values(target, partition) if there else []
             publish_partitions(path, batch, partition, list({*old, *partition_values(batch, partition)}))
         elif rule.load_method == "merge" and there:
-            merge_partitions(path, batch, rule.key_field, partition, newest_by)
+            merge_keyed(path, batch, rule.key_field, partition, newest_by)
         else:
-            fresh = parked(loads.new_rows(target, batch, rule.key_field, newest_by=newest_by))
-            fresh.write.mode("append").partitionBy(partition).parquet(path)
+            insert_keyed(path, batch, rule.key_field, partition, newest_by)
         count = batch.count()
     except Exception as e:
         log("FAILED", error=str(e)[:1000])

@@ -16,6 +16,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from tidemark.functions.temporal import epoch_micros, ntz, trunc_ntz
 
@@ -38,7 +39,8 @@ def literal_for(df: DataFrame, field: str, value: object) -> Column:
     return F.lit(str(value) if value is not None else None).cast(df.schema[field].dataType)
 
 
-def _ordinal(df: DataFrame, field: str) -> Column:
+def ordinal(df: DataFrame, field: str) -> Column:
+    """An order field as a long: integers, days, microseconds."""
     kind = df.schema[field].dataType
     if isinstance(kind, _INTEGERS):
         return F.col(field).cast("long")
@@ -51,7 +53,8 @@ def _ordinal(df: DataFrame, field: str) -> Column:
     raise TypeError(f"order field {field} has type {kind.simpleString()}; need an integer, date or timestamp")
 
 
-def _value(df: DataFrame, field: str, ordinal: int) -> Column:
+def value_of(df: DataFrame, field: str, ordinal: int) -> Column:
+    """The literal of the field's type that ``ordinal`` stands for."""
     kind = df.schema[field].dataType
     if isinstance(kind, _INTEGERS):
         return F.lit(ordinal).cast(kind)
@@ -68,14 +71,14 @@ def find_cut(df: DataFrame, field: str, max_rows: int) -> Cut | None:
     Runs a few counting jobs.  Ties at the end are left for the next batch, unless
     they are the whole batch, which then keeps all of them.
     """
-    pos = _ordinal(df, field)
+    pos = ordinal(df, field)
     total, low, high = df.agg(F.count(F.col(field)), F.min(pos), F.max(pos)).first()
     if total <= max_rows:
         return None
     below = 0
     while low < high:
         width = (high - low) // _BUCKETS + 1
-        part = df.filter(F.col(field).between(_value(df, field, low), _value(df, field, high)))
+        part = df.filter(F.col(field).between(value_of(df, field, low), value_of(df, field, high)))
         bucket_of = F.call_function("div", pos - F.lit(low), F.lit(width))
         counts = part.groupBy(bucket_of.alias("b")).count().collect()
         for bucket, n in sorted((r["b"], r["count"]) for r in counts):
@@ -83,13 +86,13 @@ def find_cut(df: DataFrame, field: str, max_rows: int) -> Cut | None:
                 low, high = low + bucket * width, min(high, low + (bucket + 1) * width - 1)
                 break
             below += n
-    edge = _value(df, field, low)
+    edge = value_of(df, field, low)
     if below == 0:
         return Cut(nth=edge, value=edge, inclusive=True)
     if below < max_rows:
         return Cut(nth=edge, value=edge, inclusive=False)
     last = df.filter(F.col(field) < edge).agg(F.max(pos)).first()[0]
-    return Cut(nth=_value(df, field, last), value=edge, inclusive=False)
+    return Cut(nth=value_of(df, field, last), value=edge, inclusive=False)
 
 
 def _until(df: DataFrame, field: str, cut: Cut | None) -> DataFrame:
@@ -128,13 +131,66 @@ def incremental_extract(df: DataFrame, order_field: str | None, watermark: objec
     return _until(fresh, order_field, cut)
 
 
+#: A bucket that holds the end of a page is divided into so many.
+_DIVIDED = 512
+
+
+def page_starts(df: DataFrame, field: str, max_rows: int) -> list[int]:
+    """The order values (as numbers, see ``ordinal``) at which the pages of a source start.
+
+    A page has at most ``max_rows`` rows, or one order value.  A value belongs to the page that the last of its rows falls
+    into when the rows are counted off; a page that gets more rows so, because its first value began in
+    the page before, is divided after that value.
+
+    One histogram of the field serves all pages, and each further job divides the buckets in which a page starts, all at once.  The number of
+    jobs depends on the span of the field alone (six for microseconds of a century), whatever the number of pages.
+    """
+    spark, pos = df.sparkSession, ordinal(df, field)
+    total, low, high = df.agg(F.count(F.col(field)), F.min(pos), F.max(pos)).first()
+    if not total:
+        return []
+    width = 1
+    while (high - low) // width >= _BUCKETS:
+        width *= _DIVIDED
+    # page k starts with the value that holds row number k * max_rows + 1: for each k its bucket and the rows before that
+    place = F.call_function("div", pos - F.lit(low), F.lit(width))
+    starts, below, ranks = {}, 0, range(0, total, max_rows)
+    counts = sorted((r["b"], r["count"]) for r in df.filter(F.col(field).isNotNull()).groupBy(place.alias("b")).count().collect())
+    todo = iter(ranks)
+    rank = next(todo, None)
+    for bucket, n in counts:
+        while rank is not None and rank < below + n:
+            starts[rank] = (bucket, below, n)
+            rank = next(todo, None)
+        below += n
+    while width > 1:
+        width //= _DIVIDED
+        asked = spark.createDataFrame([(b, k, under) for k, (b, under, _) in starts.items()], "__bucket long, __rank long, __under long")
+        fine = F.call_function("div", pos - F.lit(low), F.lit(width))
+        held = df.filter(F.col(field).isNotNull()).select(fine.alias("__fine")).withColumn("__bucket", F.call_function("div", "__fine", F.lit(_DIVIDED)))
+        counted = held.join(F.broadcast(asked.select("__bucket").distinct()), "__bucket", "left_semi").groupBy("__bucket", "__fine").count()  # at most a row a page
+        upto = F.sum("count").over(Window.partitionBy("__bucket").orderBy("__fine"))
+        found = (counted.withColumn("__end", upto).join(F.broadcast(asked), "__bucket")
+                 .filter((F.col("__rank") < F.col("__under") + F.col("__end")) & (F.col("__rank") >= F.col("__under") + F.col("__end") - F.col("count"))))
+        starts = {r["__rank"]: (r["__fine"], r["__under"] + r["__end"] - r["count"], r["count"]) for r in found.collect()}
+    pages, out = sorted({(b, under, n) for b, under, n in starts.values()}), []
+    for at, (value, under, n) in enumerate(pages):
+        end = pages[at + 1][1] if at + 1 < len(pages) else total
+        out.append(low + value)
+        if end - under > max_rows and end - under > n:
+            out.append(low + value + 1)
+    return out
+
+
 def batches(df: DataFrame, order_field: str, max_rows: int, watermark: object = None) -> Iterator[DataFrame]:
-    """All batches of a source, oldest first, each ending at a complete order value."""
+    """All batches of a source, oldest first, each ending at a complete order value.
+
+    The ends of all batches are found together when the first one is taken; rows that come later belong to the last batch or, below its
+    start, to the batch of their value.
+    """
     rest = df if watermark is None else df.filter(F.col(order_field) > literal_for(df, order_field, watermark))
     rest = rest.filter(F.col(order_field).isNotNull())
-    while True:
-        cut = find_cut(rest, order_field, max_rows)
-        yield _until(rest, order_field, cut)
-        if cut is None:
-            return
-        rest = rest.filter(F.col(order_field) > cut.value if cut.inclusive else F.col(order_field) >= cut.value)
+    edges = [None, *[value_of(df, order_field, v) for v in page_starts(rest, order_field, max_rows)[1:]], None]
+    for start, end in zip(edges[:-1], edges[1:], strict=True):
+        part = rest if start is None else rest.filter(F.col(order_field) >= start)
+        yield part if end is None else part.filter(F.col(order_field) < end)
