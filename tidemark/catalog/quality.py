@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tidemark.catalog.registry import register, table
 from tidemark.functions.jsonops import text_at
 from tidemark.functions.temporal import ntz
 from tidemark.operators import gaps, reconcile
+from tidemark.session import shared_folder
 
 THRESHOLDS = {"click": 900, "error": 1800, "signup": 4200}
 
@@ -76,6 +79,28 @@ def value_difference(spark: SparkSession, sf: str) -> DataFrame:
                                       "o_orderdate >= timestamp_ntz'1998-01-01'")
 
 
+@register("value_difference_by_ranges", f"""
+WITH {COPY}, s AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+t AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM copy WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT *, 'source' AS only_in FROM (SELECT * FROM s EXCEPT SELECT * FROM t)
+UNION ALL SELECT *, 'target' FROM (SELECT * FROM t EXCEPT SELECT * FROM s)""")
+def value_difference_by_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.value_difference_by_ranges(table(spark, sf, "orders"), drifted(spark, sf), "o_orderkey",
+                                                ["o_orderkey", "o_orderstatus", "o_totalprice"], "o_orderdate >= timestamp_ntz'1998-01-01'")
+
+
+@register("stored_count_check", """
+SELECT 'events' AS table_name, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-20') AS source_count, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 7 <> 0) AS target_count,
+  count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-20' AND event_id % 7 = 0) AS delta FROM events""")
+def stored_count_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stored tables counted by their files' footers, some of their days only."""
+    folder = f"{shared_folder(spark)}/counted-{uuid.uuid4().hex}"
+    e = table(spark, sf, "events").select("event_id", "value", F.to_date("ts").alias("day"))
+    e.write.partitionBy("day").parquet(f"{folder}/source")
+    e.filter("event_id % 7 <> 0").write.partitionBy("day").parquet(f"{folder}/target")
+    return reconcile.stored_count_check(spark, {"events": (f"{folder}/source", f"{folder}/target")}, "day < date'2024-01-20'")
+
+
 @register("transform_check", f"""
 WITH {COPY}, s AS (SELECT o_orderkey, o_totalprice FROM orders), t AS (SELECT o_orderkey, o_totalprice FROM copy)
 SELECT 'orders' AS table_name, (SELECT count(*) FROM s) AS source_count, (SELECT count(*) FROM t) AS target_count,

@@ -12,7 +12,7 @@ from tidemark.functions.temporal import ntz
 from tidemark.functions.text import code_map
 from tidemark.operators.latest import at_max_per_group, first_per_key, latest_per_key
 from tidemark.operators.lookup import salted_join
-from tidemark.operators.running import global_row_number, group_count, running_share, with_group_values, with_total_row
+from tidemark.operators.running import global_row_number, group_count, running_share, running_totals, with_group_values, with_total_row
 
 # --- projections and predicates -------------------------------------------------------
 
@@ -202,6 +202,25 @@ def running_share_of_days(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("running_ratio", 8).alias("running_ratio"))
 
 
+@register("running_totals", """
+SELECT o_orderstatus, o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_total,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderstatus) AS DOUBLE) AS group_total
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_totals_of_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Row by row over three groups, each a large part of the table."""
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    r = running_totals(o, ["o_orderstatus"], ["o_orderkey"], "price")
+    return r.select("o_orderstatus", "o_orderkey", *[F.col(c).cast("double").alias(c) for c in ("running_total", "group_total")])
+
+
+@register("group_count_few_keys", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, count(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS lines FROM lineitem""")
+def group_count_few_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups that are all heavy."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return group_count(li, ["l_returnflag", "l_linestatus"], "lines")
+
+
 @register("global_row_number", """
 WITH sums AS (SELECT l_suppkey, l_returnflag, CAST(sum(l_quantity) AS DOUBLE) AS qty FROM lineitem GROUP BY 1, 2)
 SELECT row_number() OVER (ORDER BY l_returnflag, l_suppkey) AS record_id, * FROM sums""")

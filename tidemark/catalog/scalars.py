@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import register, table
 from tidemark.functions import jsonops, pii, temporal
 from tidemark.functions.text import concat_skip_null, display_amount, display_percent, strip_chars, trim_fraction, url_host
-from tidemark.operators.lookup import ip_place, range_lookup
+from tidemark.operators.lookup import ip_place, network_place, range_lookup
 
 PEPPER, SALT = "pepper", "salt"
 
@@ -212,6 +215,18 @@ def apply_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return pii.apply_tokens(e.drop("user_id"), stored, "email")
 
 
+@register("stored_token_map", f"""
+WITH mails AS (SELECT DISTINCT 'u' || user_id || '@x.org' AS email, user_id FROM events)
+SELECT email, CASE WHEN user_id % 3 = 0 THEN 'kept' ELSE sha256(email || CASE WHEN user_id % 2 = 0 THEN 'first' ELSE '{PEPPER}' END) END AS token FROM mails""")
+def stored_token_map(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored map extended by two batches; whoever was there first keeps the token."""
+    e = table(spark, sf, "events").select(F.expr("'u' || user_id || '@x.org'").alias("email"), "user_id")
+    name = f"tokens_{uuid.uuid4().hex}"
+    pii.store_tokens(e.filter("user_id % 3 = 0").select("email", F.lit("kept").alias("token")).distinct(), name, 16)
+    pii.extend_stored_map(e.filter("user_id % 2 = 0"), "email", name, "first", buckets=16)
+    return pii.extend_stored_map(e, "email", name, PEPPER, buckets=16)
+
+
 @register("email_check", """
 WITH m AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'no mail' WHEN 3 THEN 'a.b+' || user_id || '@x-y.org' ELSE 'a@b c' END AS mail FROM events)
 SELECT event_id, coalesce(mail = '' OR regexp_full_match(mail, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\b'), false) AS valid FROM m""")
@@ -250,6 +265,32 @@ def ip_places(spark: SparkSession, sf: str) -> DataFrame:
     return ip_place(ips, "ip", ranges, ["country", "state"]).drop("ip")
 
 
+@register("ip_places_both_families", """
+WITH a AS (SELECT event_id, user_id % 200 AS x, event_id % 7 AS y, event_id % 5 AS kind FROM events), s AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey < 200)
+SELECT event_id, CASE kind WHEN 4 THEN NULL WHEN 3 THEN CASE WHEN k IS NOT NULL THEN 'four-' || k WHEN x < 128 THEN 'four-low' END
+  ELSE CASE WHEN k IS NOT NULL AND y = 3 THEN 'six-' || k || '-3' WHEN k IS NOT NULL THEN 'six-' || k ELSE 'six-all' END END AS place
+FROM a LEFT JOIN s ON k = x""")
+def ip_places_both_families(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses in several spellings, networks of several lengths within each other."""
+    x, y, n = F.col("user_id") % 200, F.col("event_id") % 7, F.col("event_id")
+    group = F.lower(F.hex(x))
+    kind = F.col("event_id") % 5
+    long = F.concat_ws(":", F.lit("2001:0DB8"), F.lpad(group, 4, "0"), F.lower(F.hex(y)), F.lit("0:0:0"), F.lower(F.hex(n % 65536)))
+    short = F.concat(F.lit("2001:db8:"), group, F.lit(":"), F.hex(y), F.lit("::"), F.hex(n % 65535 + 1))
+    dotted = F.concat(F.lit("2001:db8:"), group, F.lit(":"), F.hex(y), F.lit("::9.8.7.6"))
+    four = F.concat(F.when(n % 2 == 0, "::ffff:").otherwise(""), F.lit("10."), x.cast("string"), F.lit("."), y.cast("string"), F.lit(".1"))
+    ip = F.when(kind == 0, long).when(kind == 1, short).when(kind == 2, dotted).when(kind == 3, four).otherwise("1::2::3")
+    e = table(spark, sf, "events").select("event_id", ip.alias("ip"))
+    s = table(spark, sf, "supplier").filter("s_suppkey < 200").select("s_suppkey", F.lower(F.hex("s_suppkey")).alias("g"))
+    name, rows = F.col("s_suppkey").cast("string"), []
+    for network, place in ((F.concat(F.lit("2001:db8:"), "g", F.lit("::/48")), F.concat(F.lit("six-"), name)),
+                           (F.concat(F.lit("2001:db8:"), "g", F.lit(":3::/64")), F.concat(F.lit("six-"), name, F.lit("-3"))),
+                           (F.concat(F.lit("10."), name, F.lit(".0.0/16")), F.concat(F.lit("four-"), name))):
+        rows.append(s.select(network.alias("network"), place.alias("place")))
+    wide = spark.createDataFrame([("2001:db8::/32", "six-all"), ("10.0.0.0/9", "four-low"), ("nonsense/8", "x"), ("10.0.0.0/99", "x")], "network string, place string")
+    return network_place(e, "ip", reduce(DataFrame.unionByName, rows, wide), ["place"]).drop("ip")
+
+
 @register("range_lookup", """
 WITH ranges AS (SELECT s_suppkey * 40 AS lo, s_suppkey * 40 + 30 AS hi, s_name AS name FROM supplier)
 SELECT o_orderkey, name FROM orders LEFT JOIN ranges ON o_custkey BETWEEN lo AND hi""")

@@ -93,6 +93,27 @@ def new_tokens(token_map: DataFrame, df: DataFrame, column: str, pepper: str, sa
     return fresh.select("email", email_token("email", pepper, salt).alias("token"))
 
 
+def store_tokens(tokens: DataFrame, table: str, buckets: int = 256) -> None:
+    """Append ``(email, token)`` rows to a stored map, a table of the catalog bucketed by address.
+
+    With at least as many buckets as shuffle partitions, joins by address read the map where it lies: it is not
+    shuffled again however large it has grown, only what is looked up is.  One file a bucket and load.
+    """
+    (tokens.select("email", "token").repartition(buckets, "email").write.bucketBy(buckets, "email").sortBy("email").format("parquet")
+     .mode("append").saveAsTable(table))
+
+
+def extend_stored_map(df: DataFrame, column: str, table: str, pepper: str, salt: str = "", buckets: int = 256) -> DataFrame:
+    """Add the addresses of a batch that the stored map does not know; returns the map.  One load at a time may extend it."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        store_tokens(spark.createDataFrame([], "email string, token string"), table, buckets)
+    fresh = new_tokens(spark.table(table), df, column, pepper, salt)
+    store_tokens(fresh, table, buckets)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def apply_tokens(df: DataFrame, token_map: DataFrame, column: str) -> DataFrame:
     """Replace addresses by their stored token; values without one are kept."""
     lookup = token_map.select(F.col("email").alias("__email"), F.col("token").alias("__token"))

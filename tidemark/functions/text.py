@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -62,3 +62,8 @@ def display_amount(c: Column | str) -> Column:
 def display_percent(c: Column | str) -> Column:
     """A percentage given in hundredths, shown as ``'12%'``."""
     return F.concat(F.format_string("%.0f", F.rint(_col(c).cast("double"))), F.lit("%"))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once for each row and hand it to ``use``, which may name it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import once
+
 # Fixed value: four numbers from 0 to 255, with dots between.
 _IPV4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
 
@@ -90,6 +92,72 @@ def ip_place(fact: DataFrame, ip: str, ranges: DataFrame, places: Sequence[str])
     return fact.join(placed, fact[ip] == placed["__ip"], "left").drop("__ip")
 
 
+_GROUP = r"^[0-9A-Fa-f]{1,4}$"
+
+
+def address_bits(c: Column | str) -> Column:
+    """An IPv4 address as 32, an IPv6 address as 128 characters 0 and 1; NULL for anything else.
+
+    IPv6 may be shortened by ``::`` and may end in an IPv4 address; one that maps an IPv4 address (``::ffff:1.2.3.4``) is
+    that address.  Zones (``%eth0``) are not part of an address: NULL.
+    """
+    def groups(half: Column) -> Column:
+        return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
+
+    def filled(halves: Column) -> Column:
+        """The eight groups; some other number of them if the text is no address."""
+        left, right, parted = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit(""))), F.size(halves) == 2
+        zeros = F.when(parted, F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))).otherwise(0)
+        whole = F.concat(left, F.array_repeat(F.lit("0"), zeros), right)
+        return F.when((F.size(halves) == 1) | (parted & (zeros > 0)), whole).otherwise(F.array().cast("array<string>"))
+
+    def as_bits(eight: Column) -> Column:
+        fits = (F.size(eight) == 8) & F.forall(eight, lambda g: g.rlike(_GROUP))
+        return F.when(fits, F.array_join(F.transform(eight, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0")), ""))
+
+    def without_map(bits: Column) -> Column:
+        return F.when(bits.startswith("0" * 80 + "1" * 16), F.substring(bits, 97, 32)).otherwise(bits)
+
+    def six(text: Column) -> Column:
+        def spelled(tail: Column) -> Column:
+            low = [F.lower(F.hex(n)) for n in (F.shiftright(tail, 16), tail.bitwiseAND(F.lit(65535)))]
+            return F.when(text.contains("."), F.concat(F.regexp_replace(text, r"[^:]*$", ""), low[0], F.lit(":"), low[1])).otherwise(text)
+
+        plain = once(ipv4_number(F.substring_index(text, ":", -1)), spelled)
+        return once(once(once(F.split(plain, "::"), filled), as_bits), without_map)
+
+    text = F.col(c) if isinstance(c, str) else c
+    four = F.lpad(F.conv(ipv4_number(text).cast("string"), 10, 2), 32, "0")
+    return F.when(text.contains(":"), six(text)).otherwise(four)
+
+
+def network_bits(c: Column | str) -> Column:
+    """Of a network ``address/length``: a struct of the family's ``width`` in bits and its ``prefix`` of 0 and 1; NULL if it is none."""
+    text = F.col(c) if isinstance(c, str) else c
+    bits = address_bits(F.substring_index(text, "/", 1))
+    length = F.substring_index(text, "/", -1).try_cast("int")
+    known = text.rlike(r"^[^/]+/\d{1,3}$") & bits.isNotNull() & length.between(0, F.length(bits))
+    return F.when(known, F.struct(F.length(bits).alias("width"), F.substring(bits, F.lit(1), length).alias("prefix")))
+
+
+def network_place(fact: DataFrame, ip: str, networks: DataFrame, places: Sequence[str], network: str = "network") -> DataFrame:
+    """Add the place columns of an address of either family from a table of networks; the longest network that holds it counts.
+
+    Equality on family and prefix, once for each prefix length that occurs (161 at most), so no task compares addresses with ranges.
+    Addresses are made distinct as text, so each is parsed and looked up once.  Of equal networks the one with the smallest places counts; texts
+    that are no address and networks that are none match nothing.
+    """
+    known = (networks.select(network_bits(network).alias("__net"), F.struct(*places).alias("__place")).filter("__net is not null")
+             .groupBy(F.col("__net.width").alias("__width"), F.col("__net.prefix").alias("__prefix")).agg(F.min("__place").alias("__place")))
+    lengths = [tuple(r) for r in known.select("__width", F.length("__prefix").alias("n")).distinct().collect()]
+    tries = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n")) for w, n in sorted(lengths)]) if lengths else F.array().cast("array<struct<w:int,n:int>>")
+    seen = fact.select(F.col(ip).alias("__ip")).filter(F.col("__ip").isNotNull()).distinct().withColumn("__bits", address_bits("__ip"))
+    tried = (seen.filter("__bits is not null").withColumn("__try", F.explode(tries)).filter("length(__bits) = __try.w")
+             .select("__ip", F.col("__try.w").alias("__width"), F.substring("__bits", F.lit(1), F.col("__try.n")).alias("__prefix")))
+    best = tried.join(known, ["__width", "__prefix"]).groupBy("__ip").agg(F.max_by("__place", F.length("__prefix")).alias("__place"))
+    return fact.join(best, fact[ip] == best["__ip"], "left").select(fact["*"], *[F.col(f"__place.{p}").alias(p) for p in places])
+
+
 def overlapping_ranges(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
     """Ranges that start before an earlier one of the table has ended; empty for a usable table.
 
