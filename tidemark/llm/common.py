@@ -54,6 +54,16 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def forget(*frames: DataFrame | None) -> None:
+    """Delete the files of kept tables that nothing will read again: neither they nor anything computed from them that is not kept itself."""
+    for df in frames:
+        for file in df.inputFiles()[:1] if df is not None else []:
+            spark, folder = df.sparkSession, file.rpartition("/")[0]
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getParent().getName() == "llm":
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words_of(text: Column) -> Column:
     """Maximal runs of other characters than the blanks; no words for a null text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK + "+"), "")
@@ -91,7 +101,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b", rounds: int
         low = kept(down.groupBy("u").agg(F.min("v").alias("m")))
         small = (down.join(low, "u").select(F.col("m").alias("lo"), F.explode(F.array("u", "v")).alias("hi"))
                  .where("lo <> hi").distinct())
-        edges = kept(small)
+        last, edges = edges, kept(small)
+        forget(last, least, low)
         after = sign(edges)
         if after == before:
             return edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")).unionByName(
