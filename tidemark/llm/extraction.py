@@ -3,10 +3,13 @@
 Every element of a page gets its characters per tag, lowered by the share of characters in
 links; the sum of its children's densities tells where long texts lie side by side.  The element
 with the largest sum is the heart of the page.  The smallest density on its way up to the body is
-the page's threshold: branches at or above it are searched for more content.  Elements that
-are never article text (scripts, menus, forms, adverts, notices, reader comments, by tag or by
-words of class and id) are left out beforehand.  If the heart lies in an ``article`` or
-``main`` element, that whole element is the content.
+the page's threshold: branches at or above it are searched for more content.  Scripts, styles and
+other raw elements are left out beforehand; elements whose tag or class names them as menus, forms, adverts, notices or reader comments are left out if
+they are no wrapper of the article: one that holds an ``h1``, ``main`` or ``article`` that is not named so itself, or a form with half of the page's
+text, stays.  A class counts by its whole words or known compounds (``site-footer``, not ``no-sidebar``), and words that articles use as well
+(``related``, ``share``, ``notice``) only on containers that are short or full of links.  If the heart lies in an ``article`` or
+``main`` element, that whole element is the content; otherwise headings of the first rank ahead of the content belong to it, and a short
+line of copyright at the end does not.
 
 A page is one row; rows are not shuffled and each is parsed in one pass.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,14 +35,23 @@ from tidemark.llm.common import register, table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas".split())
-NEVER = frozenset("nav footer aside form button select dialog menu head".split()) | RAW
+NEVER = frozenset("button select head".split()) | RAW
+#: Elements that are not the article unless they are wrapped around it.
+SELDOM = frozenset("nav footer aside form dialog menu".split())
 BLOCK = frozenset(("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr "
                    "ul").split())
 #: Words of class or id that name other things than the article.
-OTHER = frozenset(("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-                   "footer masthead menu modal nav navbar navigation newsletter notice overlay pagination paywall popup promo promoted promotion "
-                   "related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget").split())
+OTHER = frozenset(("ad ads adv advert advertisement adverts breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
+                   "footer masthead menu modal nav navbar navigation newsletter pagination paywall popup promoted "
+                   "sidebar sponsor sponsored").split())
+#: Words that name other things, or a part of an article.
+PERHAPS = frozenset("banner notice overlay promo promotion related share sharing signup social subscribe toolbar widget".split())
+#: Words that go with those in compounds; any other word beside them makes a name of its own.
+BESIDE = frozenset(("area bar block body bottom box button buttons center col column container content desktop fixed form global group header inline inner item items "
+                    "label leaderboard left line link links list main media mini mobile outer page panel placeholder post posts primary rail reply right row secondary section site "
+                    "slot small sticky story stories tail text thread title tools top unit wrap wrapper article articles").split())
+CONTAINERS = frozenset("div section ul ol dl table header aside form nav footer details fieldset".split())
 CLOSES_P = BLOCK - {"html", "body", "caption", "legend", "summary", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt"} | {"li", "dd", "dt"}
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -48,34 +61,53 @@ TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^
 ATTRIBUTE = re.compile(r""""[^"]*"|'[^']*'|([^\s/>"'=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
+ENDS = {tag: re.compile(rf"</{tag}[\s>/]", re.I) for tag in RAW}
+COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b).{0,160}", re.I)
+
+
 class _Element:
-    __slots__ = ("tag", "parts", "other", "chars", "tags", "link_chars", "link_tags", "density", "sum", "parent")
+    __slots__ = ("tag", "parts", "other", "perhaps", "within", "chars", "tags", "link_chars", "link_tags", "density", "sum", "parent")
 
-    def __init__(self, tag: str, parent: _Element | None, other: bool):
-        self.tag, self.parent, self.other, self.parts = tag, parent, other, []
+    def __init__(self, tag: str, parent: _Element | None, other: bool, perhaps: bool):
+        self.tag, self.parent, self.other, self.perhaps, self.parts = tag, parent, other, perhaps, []
+        self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
 
 
-def _is_other(tag: str, attributes: str, within: bool) -> bool:
-    if tag in NEVER or tag == "header" and not within:
-        return True
-    if not attributes:
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        if name.lower() not in ("class", "id", "role", "hidden"):
-            continue
-        value = "".join(values).lower()
-        if name.lower() == "hidden" or name.lower() == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog"):
-            return True
-        if tag not in ("html", "body", "article", "main") or "comment" in value:
-            if not OTHER.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return True
-    return False
+def _named_other(name: str, words: frozenset[str]) -> bool:
+    """Whether a class or id is one of the words or a known compound of them."""
+    parts = [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if x]
+    return any(x in words for x in parts) and all(x in OTHER or x in PERHAPS or x in BESIDE for x in parts)
+
+
+def _is_other(tag: str, attributes: str, within: bool) -> tuple[bool, bool]:
+    """Whether an element is named as something else than the article, and as something that may be."""
+    other, perhaps = tag in NEVER or tag in SELDOM or tag == "header" and not within, False
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog"):
+            other = True
+        elif name in ("class", "id"):
+            for said in value.split():
+                if tag in ("article", "main"):
+                    other = other or _named_other(said, _COMMENT)
+                elif tag not in ("html", "body"):
+                    other = other or _named_other(said, OTHER)
+                    perhaps = perhaps or tag in CONTAINERS and _named_other(said, PERHAPS)
+    return other, perhaps
+
+
+_COMMENT = frozenset(("comment", "comments"))
 
 
 def parsed(page: str) -> tuple[_Element, list[_Element]]:
     """The root and all elements, parents first; text and children in order in ``parts``."""
-    root = _Element("html", None, False)
-    stack, order, at = [root], [root], 0
+    root = _Element("html", None, False, False)
+    stack, order, at, open_tags = [root], [root], 0, Counter()
+
+    def cut(i: int) -> None:
+        open_tags.subtract(x.tag for x in stack[i:])
+        del stack[i:]
+
     while m := TOKEN.search(page, at):
         if m.start() > at:
             stack[-1].parts.append(page[at:m.start()])
@@ -84,45 +116,69 @@ def parsed(page: str) -> tuple[_Element, list[_Element]]:
         if not tag:
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in ("article", "main", "table", "body") and tag not in BLOCK:
                     break
             continue
-        if tag in ("html", "body") and any(e.tag == tag for e in stack[1:]) or tag == "html":
+        if tag == "html" or tag == "body" and open_tags[tag]:
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags["p"] else ():
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in BLOCK:
                     break
         if tag in SAME:
             ends, fence = SAME[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(open_tags[x] for x in ends) else ():
                 if stack[i].tag in ends:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in fence:
                     break
         if tag == "body":
-            del stack[1:]
-        e = _Element(tag, stack[-1], _is_other(tag, m[3], any(x.tag in ("article", "main") for x in stack)))
-        stack[-1].parts.append(e)
+            cut(1)
+        above = stack[-1]
+        e = _Element(tag, above, *_is_other(tag, m[3], above.within or above.tag in ("article", "main")))
+        above.parts.append(e)
         order.append(e)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s>/]", re.I).search(page, at)
+        closed = m[3].endswith("/")
+        if tag in RAW and not (closed and tag in ("svg", "math")):
+            end = ENDS[tag].search(page, at)
+            if end is None and tag not in ("script", "style", "title", "textarea"):
+                continue  # never closed: it holds nothing
             at = end.start() if end else len(page)
-        if tag not in VOID and not m[3].endswith("/") or tag in BLOCK and tag not in VOID:
+        if tag not in VOID and not closed or tag in BLOCK and tag not in VOID:
             stack.append(e)
+            open_tags[tag] += 1
     if at < len(page):
         stack[-1].parts.append(page[at:])
     return root, order
 
 
+def _leave_out(order: list[_Element]) -> None:
+    """Settle which of the elements named as other things go, parents first: not those that are wrapped around the article."""
+    chars, links, heads = {}, {}, {}
+    for e in reversed(order):
+        hard = e.tag in NEVER
+        inner = [p for p in e.parts if not isinstance(p, str)]
+        chars[e] = 0 if hard else sum(len("".join(p.split())) for p in e.parts if isinstance(p, str)) + sum(chars[p] for p in inner)
+        links[e] = chars[e] if e.tag == "a" else 0 if hard else sum(links[p] for p in inner)
+        # an element around the article holds its heading, not named as something else on the way
+        heads[e] = not hard and (e.tag in ("h1", "main", "article") and not e.other or any(heads[p] for p in inner))
+    whole = max(1, chars[order[0]])
+    for e in order:
+        if e.other and e.tag not in NEVER:
+            around = any(heads[p] for p in e.parts if not isinstance(p, str))
+            e.other = not (e.tag == "form" and 2 * chars[e] >= whole or around and 2 * chars[e] >= whole)
+        elif e.perhaps and not e.other:
+            e.other = (10 * chars[e] < whole or 10 * links[e] >= 3 * chars[e]) and not any(heads[p] for p in e.parts if not isinstance(p, str))
+
+
 def _measure(order: list[_Element]) -> None:
     """Characters, tags and links below each element, then densities and their sums."""
     for e in reversed(order):
@@ -187,8 +243,12 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root, order = parsed(page)
+    _leave_out(order)
     _measure(order)
     chosen = _content(order)
+    first = next((i for i, e in enumerate(order) if id(e) in chosen), 0)
+    chosen |= {id(e) for e in order[:first] if e.tag == "h1"}
+    whole = all(id(e) not in chosen for e in order if e.tag in ("article", "main"))
     blocks, words = [], []
 
     def end() -> None:
@@ -215,6 +275,8 @@ def main_text(page: str | None) -> str:
                 todo.append((None, False))
             todo.extend((p, on) for p in reversed(part.parts))
     end()
+    while whole and len(blocks) > 1 and COPYRIGHT.fullmatch(blocks[-1]):
+        blocks.pop()
     return "\n\n".join(blocks)
 
 
