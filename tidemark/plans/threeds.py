@@ -140,10 +140,10 @@ def authentication_funnel(t: Tables, since: object) -> DataFrame:
         .join(links, "auth_request_id", "left")
     )
     # requests without an authentication have no outcome to look for; joined, they would meet in one task
-    outcomes = parked(_modern(t, links).filter("threeds_id is not null").join(
-        _legacy(t, links).filter("threeds_id is not null"), "threeds_id", "full_outer"))
-    r = linked.filter("threeds_id is not null").join(outcomes, "threeds_id", "left").unionByName(
-        linked.filter("threeds_id is null"), allowMissingColumns=True)
+    found = linked.filter("threeds_id is not null")
+    for service in (_modern(t, links), _legacy(t, links)):
+        found = found.join(service.filter("threeds_id is not null"), "threeds_id", "left")
+    r = found.unionByName(linked.filter("threeds_id is null"), allowMissingColumns=True)
     version = F.col("version")
     no_version = F.coalesce((version == "0"), F.lit(False)) | version.isNull()
     v1, v2 = _starts(version, "1"), _starts(version, "2")
