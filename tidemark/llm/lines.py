@@ -22,8 +22,6 @@ Everything on the way is built-in functions.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,18 +31,29 @@ _LAST = (1 << 63) - 1
 _COUNTED = " enatrisodhl"
 
 
-def _segment(n: Column, i: int, segments: int) -> tuple[Column, Column]:
+def _segment(n: Column, i: Column, segments: int) -> tuple[Column, Column]:
     """First place (from 1) and length of segment ``i`` (from 0) of a line of ``n`` characters."""
     short = F.lit(segments) - n % segments  # the later segments have one more
     base = F.floor(n / segments)
-    return (base * i + F.greatest(F.lit(0), F.lit(i) - short) + 1).cast("int"), (base + (F.lit(i) >= short).cast("int")).cast("int")
+    return (base * i + F.greatest(F.lit(0), i - short) + 1).cast("int"), (base + (i >= short).cast("int")).cast("int")
 
 
 def _counts(line: Column) -> Column:
     """Two bits for each counted character: how often it occurs, modulo 4."""
     n = F.char_length(line)
-    parts = [F.shiftleft(((n - F.char_length(F.replace(line, F.lit(c), F.lit("")))) % 4).cast("int"), 2 * i) for i, c in enumerate(_COUNTED)]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    counted = F.array(*[F.lit(c) for c in _COUNTED])
+    return F.aggregate(counted, F.lit(0), lambda bits, c: F.shiftleft(bits, 2).bitwiseOR((n - F.char_length(F.replace(line, c, F.lit("")))) % 4))
+
+
+def _keyed(lined: DataFrame, tries: list[tuple[int, int, int]], segments: int) -> DataFrame:
+    """``lined`` once for each try (segment, characters that the other line is shorter by, shift) with the hash of that substring.
+
+    The tries are rows of a constant, not columns side by side: one small expression, which the JVM compiles.
+    """
+    each = lined.withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in tries])))
+    other = F.col("n") - F.col("t.d")
+    at, size = _segment(other, F.col("t.i"), segments)
+    return each.select("h", "c", F.col("t.d").alias("d"), F.xxhash64("t.i", other, F.substring(F.col("line"), at + F.col("t.s"), size)).alias("key"))
 
 
 def _difference(a: Column, b: Column) -> Column:
@@ -75,19 +84,11 @@ def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> Dat
     texts = (lines.where(F.char_length("line") >= min_chars - threshold).groupBy("h").agg(F.max("line").alias("line"))
              .select("h", "line", F.char_length("line").alias("n")))
     lined = texts.select("h", "line", "n", _counts(F.col("line")).alias("c"))
-    index, probes = [], []
-    for i in range(segments):
-        at, size = _segment(F.col("n"), i, segments)
-        index.append(F.xxhash64(F.lit(i), F.col("n"), F.substring(F.col("line"), at, size)))
-        for d in range(threshold + 1):  # the probed line is shorter by d
-            other = F.col("n") - d
-            at, size = _segment(other, i, segments)
-            low, high = max(-i, d - (threshold - i)), min(i, d + (threshold - i))
-            probes += [F.struct(F.lit(d == 0).alias("same"), F.xxhash64(F.lit(i), other, F.substring(F.col("line"), at + s, size)).alias("key"))
-                       for s in range(low, high + 1)]
-    indexed = lined.select(F.col("h").alias("a"), F.col("c").alias("ca"), F.explode(F.array(*index)).alias("key"))
-    asked = (lined.select(F.col("h").alias("b"), F.col("c").alias("cb"), F.explode(F.array(*probes)).alias("p"))
-             .select("b", "cb", "p.same", "p.key"))
+    index = [(i, 0, 0) for i in range(segments)]
+    probes = [(i, d, s) for i in range(segments) for d in range(threshold + 1)  # the probed line is shorter by d
+              for s in range(max(-i, d - (threshold - i)), min(i, d + (threshold - i)) + 1)]
+    indexed = _keyed(lined, index, segments).select(F.col("h").alias("a"), F.col("c").alias("ca"), "key")
+    asked = _keyed(lined, probes, segments).select(F.col("h").alias("b"), F.col("c").alias("cb"), (F.col("d") == 0).alias("same"), "key")
     met = (indexed.join(asked, (indexed["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))
                         & (_difference(F.col("ca"), F.col("cb")) <= 2 * threshold)).select("a", "b").distinct())
     one = texts.select(F.col("h").alias("a"), F.col("line").alias("la"), F.col("n").alias("na"))
