@@ -219,3 +219,35 @@ def test_pipeline_stages_take_effect(spark):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where(F.col("n") > SIZE).isEmpty()
     run = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(tuple, run.select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, packed.select("doc_id", "piece", "ids_crc32").collect()))
+
+
+def test_mixing_takes_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, "a b c", "s", "en") for i in range(50)], "doc_id long, text string, source string, lang string")
+    odd = df.withColumns({"probability": F.lit("p"), "_d0": F.lit(1), "_d1": F.lit(2), "__p": F.lit(3), "topic": F.lit("t")})
+    assert mixing.mixed_documents(odd).columns == odd.columns
+    assert sorted(r.doc_id for r in mixing.mixed_documents(odd).collect()) == sorted(r.doc_id for r in mixing.mixed_documents(df).collect())
+    with pytest.raises(ValueError, match="probability"):
+        mixing.mixed_documents(odd, with_probability=True)
+
+
+def test_the_pipeline_takes_odd_tables(spark, tmp_path):
+    text = lambda k, n=80: " ".join(f"{k}word{i}" for i in range(n)) + "."
+    shape = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, text("a")), (1, text("b")), (2, text("b")), (3, None), (None, None), (None, text("c")), (None, text("c")), (None, text("d")), (5, ""), (6, text("e", 6000))]
+    for name, own in (("odd", rows), ("none", [])):
+        frame = spark.createDataFrame([(i, t, None if i == 2 else "en", "src0" if i else None, None if t is None else len(t)) for i, t in own], shape)
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for stage, fn in corpus_pipeline.STAGES:
+            before = docs
+            docs = components.kept(fn(spark, docs, f"{tmp_path}/{name}"))
+            if stage != "best_fit_packing":
+                assert docs.columns == before.columns, stage
+        if not own:
+            assert docs.isEmpty()
+            continue
+        from tidemark.llm import packing
+        want = {(r.doc_id, r.piece): (r.length, bytes(r.ids)) for r in packing.pieces(before.where("doc_id is not null")).collect()}
+        got = {(r.doc_id, r.piece): (r.length, bytes(r.ids)) for r in docs.where("doc_id is not null").collect()}
+        assert got == want and docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where(F.col("n") > SIZE).isEmpty()
+

@@ -330,3 +330,32 @@ def test_sha_is_of_the_kept_words(spark):
     r = entry.queries()["op2_substring_dedup"](spark, SMALL).where(F.col("n_removed") == 0).first()
     text = duckdb.connect().execute(f"SELECT text FROM '{SMALL}/documents.parquet' WHERE doc_id = {r.doc_id}").fetchall()[0][0]
     assert r.kept_sha256 == hashlib.sha256(" ".join(words(text)).encode()).hexdigest()
+
+
+def test_equal_pieces_lie_in_all_buckets(spark):
+    rows = [(None, "")] * 3000 + [(1, "a b c"), (2, None)]
+    out = packing.packed_documents(frame(spark, rows).repartition(4))
+    assert out.count() == 3002 and out.groupBy("sequence_id", "offset").count().where("count > 1").isEmpty()
+    assert out.select("sequence_id").distinct().count() == 1  # 3,005 tokens
+    shares = [r["count"] for r in out.where("length = 1").groupBy((F.col("offset") / 300).cast("int")).count().collect()]
+    assert len(shares) >= 10
+
+
+def test_equal_rows_are_shuffled_like_others(spark):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(-1, "the same")] * 500 + [(None, None)] * 100
+    df = frame(spark, rows).selectExpr("doc_id", "text", "1 AS _at", "2 AS _tag", "3 AS _block", "4 AS _part", "5 AS __c0").repartition(3)
+    out = sharding.shuffled_shards(df)
+    assert out.columns == [*df.columns, "shard", "slot"] and out.drop("shard", "slot").exceptAll(df).isEmpty() and out.count() == 2600
+    got = out.select("doc_id", "shard", "slot").collect()
+    per = Counter(r.shard for r in got)
+    assert set(per.values()) <= {162, 163} and all(sorted(r.slot for r in got if r.shard == s) == list(range(per[s])) for s in per)
+    copies = Counter(r.shard for r in got if r.doc_id == -1)
+    assert min(copies.values()) >= 14 and max(copies.values()) <= 52  # 31 are due to each
+    runs = sum(a + 1 == b for s in per for a, b in itertools.pairwise(sorted(r.slot for r in got if r.doc_id == -1 and r.shard == s)))
+    assert 50 <= runs <= 150  # 500 * 500 / 2600 in a random order
+
+
+def test_rows_with_maps_are_sharded(spark):
+    df = spark.range(40).selectExpr("id % 5 AS doc_id", "map('a', id) AS m")
+    out = sharding.shuffled_shards(df, shards=4).collect()
+    assert sorted(r.m["a"] for r in out) == list(range(40)) and len({(r.shard, r.slot) for r in out}) == 40

@@ -189,17 +189,24 @@ def plan(counts: dict[int, int], size: int = SIZE, max_docs: int | None = None,
     return np.array(out, np.int64).reshape(-1, 5)
 
 
-def packed(parts: DataFrame, key: str = "doc_id", size: int = SIZE, buckets: int = 256, **rules) -> DataFrame:
+#: Pieces of a bucket, within which the pieces of one length are numbered, and the least number of buckets.
+IN_BUCKET, BUCKETS = 1 << 20, 256
+
+
+def packed(parts: DataFrame, key: str = "doc_id", size: int = SIZE, **rules) -> DataFrame:
     """``parts`` (key, piece, length and anything else) with ``sequence_id`` and ``offset``.
 
-    ``parts`` must be a written table: it is counted first and placed then.
+    The rows are written first, each with a number of its own, by which they are dealt into buckets: equal pieces, however
+    many, lie in all of them.
     """
-    if clash := {"sequence_id", "offset", "_bucket", "_rank"} & set(parts.columns):
+    if clash := {"sequence_id", "offset", "_bucket", "_rank", "_row", "_at", "_before"} & set(parts.columns):
         raise ValueError(f"columns of the input clash with results: {sorted(clash)}")
     spark = parts.sparkSession
     ties = [c for c in parts.columns if c not in (key, "piece", "length")]
     tag = F.xxhash64(key, "piece", *ties)
-    spread = parts.select("*", F.pmod(F.xxhash64(F.lit(3), key, "piece", *ties), F.lit(buckets)).alias("_bucket"))
+    numbered = kept(parts.select("*", F.monotonically_increasing_id().alias("_row")))
+    buckets = max(BUCKETS, numbered.count() // IN_BUCKET)
+    spread = numbered.select("*", F.pmod(F.xxhash64("_row"), F.lit(buckets)).alias("_bucket"))
     per = spread.groupBy("length", "_bucket").count()
     counts = {r[0]: r[1] for r in per.groupBy("length").agg(F.sum("count")).collect()}  # at most `size` rows
     placed = plan(counts, size, **rules)
@@ -228,13 +235,14 @@ def packed(parts: DataFrame, key: str = "doc_id", size: int = SIZE, buckets: int
 
 def packed_documents(docs: DataFrame) -> DataFrame:
     """Pieces of all documents with a checksum of their ids in place of the ids, packed."""
-    cut = pieces(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packed(kept(cut))
+    return packed(pieces(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces."""
-    return packed_documents(docs)
+    """Pipeline stage: the packed pieces with their token ids; only the places go through the packing, the ids join them at the end."""
+    cut = kept(pieces(docs).withColumn("number", F.monotonically_increasing_id()))
+    placed = packed(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "number"))
+    return placed.join(cut.select("number", "ids"), "number").drop("number")
 
 
 @register("op9_best_fit_packing")
