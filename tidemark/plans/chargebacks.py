@@ -39,6 +39,31 @@ def first_disputes(t: Tables, as_of: object, days: int = 5) -> DataFrame:
     return recent_disputes(t, as_of, days).filter(F.col("status") == "1st_chargeback")
 
 
+#: Tables that several parts of a case file read by the ids of the cases, with their column of payment ids.
+CASE_TABLES = {"chargebacks": "payment_id", "payments": "id", "proc_requests": "payment_id", "r_payments": "payment_ref",
+               "user_browser_events": "payment_id", "payment_events_log": "payment_id", "fraud_warnings": "payment_id"}
+
+
+def of_cases(t: Tables, as_of: object, days: int = 5) -> Tables:
+    """The tables with only the rows of recent disputes' payments where every part reads no others; each large table is read once.
+
+    Histories and card totals look beyond the cases and take the whole tables.
+    """
+    ids = parked(recent_disputes(t, as_of, days).select("payment_id").distinct())
+    own = {name: parked(near(t[name], ids.withColumnRenamed("payment_id", key), key)) for name, key in CASE_TABLES.items() if name != "chargebacks"}
+    return _CaseTables(t, own | {"chargebacks": parked(recent_disputes(t, as_of, days))})
+
+
+class _CaseTables:
+    """Some tables cut to the cases, the others as they are."""
+
+    def __init__(self, everything: Tables, own: Mapping[str, DataFrame]):
+        self.everything, self.own = everything, own
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.own[name] if name in self.own else self.everything[name]
+
+
 # --- identity match -------------------------------------------------------------------
 
 def identity_cases(t: Tables, as_of: object, days: int = 5) -> DataFrame:
@@ -150,22 +175,25 @@ def _in_fraud_ring(t: Tables, cases: DataFrame) -> DataFrame:
     return newest.filter(F.exists(names, lambda n: n.ilike("%fraud ring%"))).select("payment_id", F.lit(True).alias("ring"))
 
 
-def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = False, house: codes.House = codes.EXAMPLE) -> DataFrame:
+def identity_match(t: Tables, as_of: object, days: int = 5, as_written: bool = False, house: codes.House = codes.EXAMPLE,
+                   own: Tables | None = None) -> DataFrame:
     """Score of the evidence that buyer and card holder are one person, with its parts.
 
     The first digit of the reference number tells the scheme: 7 and 2 Visa, 8 and 0
     Mastercard; for one US broker 7 is priced as Mastercard.  ``as_written`` keeps the
-    original precedence of the verification rule, by which a selfie alone scores 0.
+    original precedence of the verification rule, by which a selfie alone scores 0.  ``own`` are the tables of the cases, if
+    there are some already.
     """
-    cases = parked(identity_cases(t, as_of, days))
-    auth = near(t["proc_requests"].filter("tx_type = 'authorization'"), cases, "payment_id")
+    own = own or of_cases(t, as_of, days)
+    cases = parked(identity_cases(own, as_of, days))
+    auth = near(own["proc_requests"].filter("tx_type = 'authorization'"), cases, "payment_id")
     avs = latest_per_key(auth, "payment_id", ["created_at", "id"]).select(
         "payment_id", avs_matches(F.col("processor"), F.col("raw_response")).alias("avs"))
     partners = t["partners"].select(F.col("id").alias("pay_to_partner_id"), F.col("full_name").alias("partner"))
     x = (
         cases.join(partners, "pay_to_partner_id", "left").join(_decision_features(t, cases, house), "payment_id", "left")
-        .join(_ip_features(t, cases), "payment_id", "left").join(_in_fraud_ring(t, cases), "payment_id", "left")
-        .join(transaction_age(t, cases), "payment_id", "left").join(avs, "payment_id", "left")
+        .join(_ip_features(own, cases), "payment_id", "left").join(_in_fraud_ring(own, cases), "payment_id", "left")
+        .join(transaction_age(own, cases), "payment_id", "left").join(avs, "payment_id", "left")
         .join(undisputed_history(t, cases), "cc_identifier", "left").join(undisputed_wallet_history(t, cases), "last4", "left"))
 
     def no(c: Column) -> Column:
@@ -378,8 +406,11 @@ def disputed_by_card_and_day(t: Tables) -> DataFrame:
 # --- the case file --------------------------------------------------------------------
 
 def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str] = APPROVED_EVENTS,
-          house: codes.House = codes.EXAMPLE) -> DataFrame:
-    """First disputes of approved, executed payments, with deadlines, amounts, liability and parties."""
+          house: codes.House = codes.EXAMPLE, everything: Tables | None = None) -> DataFrame:
+    """First disputes of approved, executed payments, with deadlines, amounts, liability and parties.
+
+    ``t`` may be the tables of the cases; the totals of their cards are then taken from ``everything``.
+    """
     cb = first_disputes(t, as_of, days).filter(~F.col("reason_code").isin(codes.SKIPPED_REASONS)).select(
         "payment_id", "posted_at", "reason_code", "raw_data", F.col("status").alias("stage"))
     log = near(t["payment_events_log"], cb, "payment_id").filter(
@@ -412,7 +443,7 @@ def cases(t: Tables, as_of: object, days: int = 5, approved_events: Sequence[str
         text_at("request_data", "bin").alias("bin"), text_at("request_data", "i").alias("login_ip"),
         F.to_date("inserted_at").alias("created_on"), text_at("data", "credit_card", "issuer", "name").alias("issuer"))
     em = near(em, x, "bin", "login_ip", "created_on").distinct()
-    totals = near(disputed_by_card_and_day(t), x, "cc_identifier", "posted_on")
+    totals = near(disputed_by_card_and_day(everything or t), x, "cc_identifier", "posted_on")
     x = (
         x.join(pr, "payment_id").join(t["chargeback_types"], "reason_code", "left").join(banks, "bin", "left")
         .join(analyst, "payment_id", "left").join(warned, "payment_id", "left").join(flags, "payment_id", "left")
@@ -527,15 +558,16 @@ CRM_FIELDS = {
 def case_file(t: Tables, as_of: object, days: int = 5, cards_since: object = "2022-01-01",
               approved_events: Sequence[str] = APPROVED_EVENTS, house: codes.House = codes.EXAMPLE) -> DataFrame:
     """The whole case file under CRM names, one row per case and combination of its evidence."""
-    base = parked(cases(t, as_of, days, approved_events, house))
-    peers = parked(delivered(t, base))
+    own = of_cases(t, as_of, days)
+    base = parked(cases(own, as_of, days, approved_events, house, t))
+    peers = parked(delivered(own, base))
     rings = near(t["fraud_ring_tags"], base, "payment_id").select("payment_id", "tag").distinct()
     x = base
     for part in (
-        identity_match(t, as_of, days, house=house).select("payment_id", "rank"), explorer_links(t, peers), avs_answers(t, peers),
-        authentication_evidence(t, peers), answered_eci(t, peers), rings,
-        fraud_types(t, as_of, days).select("payment_id", "fraud_type").distinct(),
-        device_details(t, as_of, days), last_four_digits(t, cards_since)):
+        identity_match(t, as_of, days, house=house, own=own).select("payment_id", "rank"), explorer_links(own, peers), avs_answers(own, peers),
+        authentication_evidence(own, peers), answered_eci(own, peers), rings,
+        fraud_types(own, as_of, days).select("payment_id", "fraud_type").distinct(),
+        device_details(own, as_of, days), near(last_four_digits(t, cards_since), base, "payment_id")):
         x = x.join(part, "payment_id", "left")
     us = F.col("partner_name") == house.us_broker
     proven = F.when(us, F.col("answer_eci").isin(codes.LIABILITY_SHIFT_ECI)).when(
