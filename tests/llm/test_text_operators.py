@@ -144,6 +144,24 @@ def test_near_lines_are_all_pairs_within_the_threshold(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
 
 
+def test_near_lines_of_lengths_about_the_counted_ends(spark):
+    rng = random.Random(9)
+    distinct = set()
+    for n in [*range(93, 104), 60, 120, 150]:
+        line = "".join(rng.choices("enatrisodhl xyz", k=n)).strip() + "q"
+        for _ in range(4):
+            y = list(line)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.choice([0, 20, 46, 47, 48, 49, len(y) - 49, len(y) - 48, len(y) - 47, len(y) - 2])
+                y[at:at + rng.randint(0, 1)] = rng.choice(["", "e", "é"])
+            distinct.add("".join(y))
+    distinct = sorted(distinct)
+    df = lines.lines_of(frame(spark, list(enumerate(distinct))), "doc_id", "text")
+    name = {r.h: r.line for r in df.collect()}
+    got = {frozenset((name[r.a], name[r.b])) for r in lines.near_lines(df).collect()}
+    assert got == {frozenset(p) for p in itertools.combinations(distinct, 2) if abs(len(p[0]) - len(p[1])) <= 2 and edits(*p) <= 2} and len(got) > 20
+
+
 def test_repeated_lines_go_and_first_ones_stay(spark):
     long = "this is a rather long line of a text, number one"
     rows = [(1, f"{long}\n\nshort\nshort"), (2, f"short\nother\n{long}!"), (None, "short\nmine"), *EDGES[1:]]

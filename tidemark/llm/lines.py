@@ -10,7 +10,7 @@ verified by the edit distance.  Near copies form classes; the first line of a cl
 
 The verification is Spark's ``levenshtein`` with a threshold, which is banded; SQL has no bit
 vectors of a line's length, so it is not the bit-parallel form.  Before it, counts of twelve frequent
-characters, modulo 4 in two bits each, reject pairs inside the join: one edit changes two counts by one.
+characters at the ends of the lines, modulo 4 in two bits each, reject pairs inside the join: one edit changes two counts by one.
 Lines are exchanged once with their text; index and probes carry hashes.
 
 Defined results: a null text has no lines; lines without a word are never compared and stay; lines
@@ -25,10 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_CHARACTER, components, kept, register, table
+from tidemark.llm.common import WORD_CHARACTER, components, kept, letting, register, table
 
 _LAST = (1 << 63) - 1
 _COUNTED = " enatrisodhl"
+#: Characters at each end of a line that are counted.
+_END = 48
 
 
 def _segment(n: Column, i: Column, segments: int) -> tuple[Column, Column]:
@@ -39,10 +41,18 @@ def _segment(n: Column, i: Column, segments: int) -> tuple[Column, Column]:
 
 
 def _counts(line: Column) -> Column:
-    """Two bits for each counted character: how often it occurs, modulo 4."""
-    n = F.char_length(line)
-    counted = F.array(*[F.lit(c) for c in _COUNTED])
-    return F.aggregate(counted, F.lit(0), lambda bits, c: F.shiftleft(bits, 2).bitwiseOR((n - F.char_length(F.replace(line, c, F.lit("")))) % 4))
+    """Two bits for each counted character: how often it occurs, modulo 4, in a short line or in both ends of a longer one, which a bit tells.
+
+    One edit changes the characters of an end by one coming in and one going out at most.
+    """
+    n, counted = F.char_length(line), F.array(*[F.lit(c) for c in _COUNTED])
+    ends = F.when(n <= 2 * _END + 1, line).otherwise(F.concat(F.substring(line, 1, _END), F.substring(line, -_END, _END)))
+
+    def bits(text: Column, size: Column) -> Column:
+        return F.aggregate(counted, F.lit(0), lambda sofar, c: F.shiftleft(sofar, 2).bitwiseOR((size - F.char_length(F.replace(text, c, F.lit("")))) % 4))
+
+    return letting(ends, lambda text: letting(F.char_length(text), lambda size: bits(text, size))).bitwiseOR(
+        F.when(n > 2 * _END + 1, 1 << 2 * len(_COUNTED)).otherwise(0))
 
 
 def _keyed(lined: DataFrame, tries: list[tuple[int, int, int]], segments: int) -> DataFrame:
@@ -66,6 +76,12 @@ def _difference(a: Column, b: Column) -> Column:
     return F.bit_count(some) + F.bit_count(two)
 
 
+def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
+    """Whether the counts leave room for so few edits; a line just too long to be counted whole lacks some characters beside one counted whole."""
+    mixed = F.shiftright(a.bitwiseXOR(b), 2 * len(_COUNTED)) != 0
+    return _difference(a, b) <= F.when(mixed, 3 * threshold + 1).otherwise(2 * threshold)
+
+
 def _document(key: str, text: str) -> list[Column]:
     """What names a document: its id and a hash of its text."""
     return [F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("copy")]
@@ -90,7 +106,7 @@ def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> Dat
     indexed = _keyed(lined, index, segments).select(F.col("h").alias("a"), F.col("c").alias("ca"), "key")
     asked = _keyed(lined, probes, segments).select(F.col("h").alias("b"), F.col("c").alias("cb"), (F.col("d") == 0).alias("same"), "key")
     met = (indexed.join(asked, (indexed["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))
-                        & (_difference(F.col("ca"), F.col("cb")) <= 2 * threshold)).select("a", "b").distinct())
+                        & _may_be_near(F.col("ca"), F.col("cb"), threshold)).select("a", "b").distinct())
     one = texts.select(F.col("h").alias("a"), F.col("line").alias("la"), F.col("n").alias("na"))
     two = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb"))
     return (met.join(one, "a").join(two, "b").where((F.col("na") >= min_chars) | (F.col("nb") >= min_chars))
