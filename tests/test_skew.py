@@ -67,6 +67,25 @@ def test_salt_spreads_the_hot_key(spark, facts):
     assert rows(lookup.salted_join(df, names, ["k"], "left", 8, ["i"]), "i", "name") == rows(df.join(names, "k", "left"), "i", "name")
 
 
+def test_lookup_rows_of_other_keys_are_not_repeated(spark, facts):
+    df, _ = facts
+    names = spark.range(500).selectExpr("id AS k", "'n' || id AS name")
+    joined = lookup.salted_join(df, names, ["k"], "inner", 8, ["i"])
+    assert joined.count() == N
+    joined.collect()
+    node, repeated = joined._jdf.queryExecution().executedPlan().toString(), []
+
+    def generated(plan):
+        if plan.nodeName().startswith("Generate"):
+            repeated.append(plan.metrics().apply("numOutputRows").value())
+        inner = plan.finalPhysicalPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.plan() if "QueryStage" in plan.nodeName() else None
+        for child in [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]:
+            generated(child)
+
+    generated(joined._jdf.queryExecution().executedPlan())
+    assert repeated and sum(repeated) == 500 + 7, node
+
+
 def test_gaps_of_a_busy_feed(spark, facts):
     df, _ = facts
     feed = df.filter("i < 1000 or i > 1100").withColumn("feed", F.when(F.col("k") == 0, "hot").otherwise("rest"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +34,25 @@ def salted_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
                 spread_by: Sequence[str] = ()) -> DataFrame:
     """Equi-join of a large side with hot keys to a lookup side.
 
-    The fact rows of one key are spread over ``salts`` tasks by a hash of
-    ``spread_by`` (a column that differs between them, e.g. the row id) and the lookup
-    rows are repeated as often.  The result is the same for any salt.
+    The fact rows of a hot key are spread over ``salts`` tasks by a hash of
+    ``spread_by`` (a column that differs between them, e.g. the row id) and its lookup
+    rows are repeated as often.  A key is hot if it has more fact rows than an average shuffle partition, so there are
+    fewer hot keys than partitions; the lookup rows of all others are there once.  Fact rows without a full key match
+    nothing and are spread as well.  The result is the same for any salt.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("a salted join keeps the fact side: inner, left, left_semi or left_anti")
-    salt = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(salts))
-    repeated = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return fact.withColumn("__salt", salt).join(repeated, [*keys, "__salt"], how).drop("__salt")
+    spark, n = fact.sparkSession, "__key_rows"
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    fair = max(1, fact.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = counted.filter(~no_key & (F.col(n) > fair)).select(*keys, F.lit(salts).cast("long").alias("__salts"))
+    hot = F.broadcast(spark.createDataFrame(found.collect(), found.schema))  # fewer rows than partitions
+    salt = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.when(no_key, F.lit(salts).cast("long")).otherwise(F.coalesce("__salts", F.lit(1))))
+    spread = fact.join(hot, list(keys), "left").withColumn("__salt", salt).drop("__salts")
+    repeated = (lookup.join(hot, list(keys), "left")
+                .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts"))
+    return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
 
 
 def range_blocks(ranges: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
