@@ -251,3 +251,9 @@ def test_the_pipeline_takes_odd_tables(spark, tmp_path):
         got = {(r.doc_id, r.piece): (r.length, bytes(r.ids)) for r in docs.where("doc_id is not null").collect()}
         assert got == want and docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where(F.col("n") > SIZE).isEmpty()
 
+
+def test_mixing_keeps_most_of_evenly_sourced_documents(spark):
+    langs = ["en"] * 12 + ["de"] * 3 + ["fr"] * 3 + ["es"] * 2
+    rows = [(i, " ".join(["wordy"] * (900 if i % 5 == 0 else 190 if i % 5 < 4 else 20)), langs[i // 20 % 20], f"src{i % 20}", 0) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    assert mixing.mixed_documents(docs).count() > 2000
