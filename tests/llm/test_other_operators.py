@@ -257,3 +257,13 @@ def test_mixing_keeps_most_of_evenly_sourced_documents(spark):
     rows = [(i, " ".join(["wordy"] * (900 if i % 5 == 0 else 190 if i % 5 < 4 else 20)), langs[i // 20 % 20], f"src{i % 20}", 0) for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
     assert mixing.mixed_documents(docs).count() > 2000
+
+
+def test_the_pipeline_limits_the_documents_of_a_sequence(spark):
+    from tidemark.llm import packing
+
+    rows = [(i, " ".join(["the"] * (3500 if i % 40 == 0 else 3)), "en", "s", 0) for i in range(200)]
+    out = packing.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int"), "")
+    per = out.groupBy("sequence_id").agg(F.count("*").alias("n"), F.sum("length").alias("length"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert sum(r.n for r in per) == out.count() >= 200 and all(r.length == r.end <= packing.SIZE for r in per)
+    assert max(r.n for r in per) == packing.MOST_DOCS

@@ -4,7 +4,8 @@ A piece asks for its tokens, one document and the square of its tokens; a sequen
 for so many of each.  Pieces go, largest first, to the open sequence that fits best under
 all three: the one with the smallest weighted norm of what stays free (``rule="norm"``), or
 the largest weighted dot product of asked and free (``rule="dot"``).  With the default limits documents and
-cost never bind: pieces within the tokens cannot reach them.
+cost never bind: pieces within the tokens cannot reach them.  The pipeline limits the documents of a sequence; the cost cannot
+bind while a piece may fill a sequence, as its square is the largest sum of squares within the tokens.
 
 Pieces of one length are interchangeable, so the plan needs only how many there are of each
 length: at most ``size`` numbers, counted on Spark over all pieces.  The plan states which
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import kept, register, table
 
 SIZE = 4096
+#: Documents that a sequence of the pipeline may hold; the query has no such limit, as its contract asks for the fewest sequences.
+MOST_DOCS = 16
 #: Words whose ids a Python worker remembers, and characters of text it works on at once.
 REMEMBERED, AT_ONCE = 1 << 20, 8 << 20
 
@@ -239,9 +242,12 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces with their token ids; only the places go through the packing, the ids join them at the end."""
+    """Pipeline stage: the packed pieces with their token ids, ``MOST_DOCS`` at most to a sequence.
+
+    Only the places go through the packing, the ids join them at the end.
+    """
     cut = kept(pieces(docs).withColumn("number", F.monotonically_increasing_id()))
-    placed = packed(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "number"))
+    placed = packed(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "number"), max_docs=MOST_DOCS)
     return placed.join(cut.select("number", "ids"), "number").drop("number")
 
 
