@@ -97,6 +97,24 @@ def test_the_number_of_jobs_does_not_grow_with_the_pages(spark):
     assert used[10] <= used[1500] + 2 and used[10] < 30
 
 
+def test_the_first_pages_do_not_wait_for_the_others(spark, monkeypatch):
+    df = spark.range(4000).select((F.col("id") * 7919 % 4000).alias("f"))
+    asked = []
+    known = b.value_of
+    monkeypatch.setattr(b, "value_of", lambda *a: asked.append(a[-1]) or known(*a))
+    pages = b.batches(df, "f", 4)
+    firsts = [next(pages).agg(F.min("f"), F.count("f")).first()[:] for _ in range(3)]
+    assert firsts == [(0, 4), (4, 4), (8, 4)] and len(asked) < 10
+
+
+@pytest.mark.parametrize("values", [[5] * 40, [1, 2] + [5] * 40 + [6, 7, 8], [i // 7 for i in range(90)], [1] * 9 + list(range(2, 30)), list(range(50))])
+def test_lots_of_pages_found_one_after_another_are_the_pages(spark, monkeypatch, values):
+    monkeypatch.setattr(b, "_AHEAD", 2)
+    monkeypatch.setattr(b, "_MOST_AHEAD", 3)
+    df = spark.createDataFrame([(v,) for v in values], "f long").coalesce(1)
+    assert [sorted(r[0] for r in p.collect()) for p in b.batches(df, "f", 4)] == pages_of(values, 4)
+
+
 # --- streams ----------------------------------------------------------------------------
 
 SHAPE = "event_id long, v string, dw_created_at timestamp_ntz, day string"

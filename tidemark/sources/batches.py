@@ -9,7 +9,7 @@ reaches the scan, so it stays as parallel as the source.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -133,9 +133,11 @@ def incremental_extract(df: DataFrame, order_field: str | None, watermark: objec
 
 #: A bucket that holds the end of a page is divided into so many.
 _DIVIDED = 512
+#: Pages whose starts are found together: so many at first, more later.
+_AHEAD, _MOST_AHEAD = 64, 65536
 
 
-def page_starts(df: DataFrame, field: str, max_rows: int) -> list[int]:
+def page_starts(df: DataFrame, field: str, max_rows: int, first: int = 0, pages: int | None = None) -> list[int]:
     """The order values (as numbers, see ``ordinal``) at which the pages of a source start.
 
     A page has at most ``max_rows`` rows, or one order value.  A value belongs to the page that the last of its rows falls
@@ -144,19 +146,40 @@ def page_starts(df: DataFrame, field: str, max_rows: int) -> list[int]:
 
     One histogram of the field serves all pages, and each further job divides the buckets in which a page starts, all at once.  The number of
     jobs depends on the span of the field alone (six for microseconds of a century), whatever the number of pages.
+
+    With ``pages`` only the starts of that many pages, from page ``first`` (0) on, when the rows are counted off: the driver holds no
+    more than these.  A value that fills several pages starts in the first of them, and is given again for any of the others.
     """
-    spark, pos = df.sparkSession, ordinal(df, field)
-    total, low, high = df.agg(F.count(F.col(field)), F.min(pos), F.max(pos)).first()
-    if not total:
+    total, low, high = df.agg(F.count(F.col(field)), F.min(ordinal(df, field)), F.max(ordinal(df, field))).first()
+    ranks = range(0, total, max_rows)[first:None if pages is None else first + pages]
+    if not ranks:
         return []
+    # one page more than is asked for, to know how many rows the last one gets
+    beyond = [ranks[-1] + max_rows] if ranks[-1] + max_rows < total else []
+    held = _holding(df, field, [*ranks, *beyond], low, high)
+    found, out = sorted({held[rank] for rank in ranks}), []
+    value, under, n = found[-1]
+    following = -(-(under + n) // max_rows) * max_rows  # the first row counted off that is not in the last of these values
+    if following < total:
+        end_of_last = (held if following in held else _holding(df, field, [following], low, high))[following][1]
+    else:
+        end_of_last = total
+    for (value, under, n), end in zip(found, [*(under for _, under, _ in found[1:]), end_of_last], strict=True):
+        out.append(low + value)
+        if end - under > max_rows and end - under > n:
+            out.append(low + value + 1)
+    return out
+
+
+def _holding(df: DataFrame, field: str, ranks: Sequence[int], low: int, high: int) -> dict[int, tuple[int, int, int]]:
+    """Of each row number (from 0, ascending) the order value that holds it, less ``low``, the rows before that value and its rows."""
+    spark, pos = df.sparkSession, ordinal(df, field)
     width = 1
     while (high - low) // width >= _BUCKETS:
         width *= _DIVIDED
-    # page k starts with the value that holds row number k * max_rows + 1: for each k its bucket and the rows before that
     place = F.call_function("div", pos - F.lit(low), F.lit(width))
-    starts, below, ranks = {}, 0, range(0, total, max_rows)
+    starts, below, todo = {}, 0, iter(ranks)
     counts = sorted((r["b"], r["count"]) for r in df.filter(F.col(field).isNotNull()).groupBy(place.alias("b")).count().collect())
-    todo = iter(ranks)
     rank = next(todo, None)
     for bucket, n in counts:
         while rank is not None and rank < below + n:
@@ -173,24 +196,29 @@ def page_starts(df: DataFrame, field: str, max_rows: int) -> list[int]:
         found = (counted.withColumn("__end", upto).join(F.broadcast(asked), "__bucket")
                  .filter((F.col("__rank") < F.col("__under") + F.col("__end")) & (F.col("__rank") >= F.col("__under") + F.col("__end") - F.col("count"))))
         starts = {r["__rank"]: (r["__fine"], r["__under"] + r["__end"] - r["count"], r["count"]) for r in found.collect()}
-    pages, out = sorted({(b, under, n) for b, under, n in starts.values()}), []
-    for at, (value, under, n) in enumerate(pages):
-        end = pages[at + 1][1] if at + 1 < len(pages) else total
-        out.append(low + value)
-        if end - under > max_rows and end - under > n:
-            out.append(low + value + 1)
-    return out
+    return starts
 
 
 def batches(df: DataFrame, order_field: str, max_rows: int, watermark: object = None) -> Iterator[DataFrame]:
     """All batches of a source, oldest first, each ending at a complete order value.
 
-    The ends of all batches are found together when the first one is taken; rows that come later belong to the last batch or, below its
-    start, to the batch of their value.
+    The ends are found for some batches ahead when they are needed, for ``_AHEAD`` at first and for more and more later, so the first batches of
+    a source cost the same however many follow.  Rows that come later belong to the last batch or, below its start, to the batch of
+    their value.
     """
     rest = df if watermark is None else df.filter(F.col(order_field) > literal_for(df, order_field, watermark))
     rest = rest.filter(F.col(order_field).isNotNull())
-    edges = [None, *[value_of(df, order_field, v) for v in page_starts(rest, order_field, max_rows)[1:]], None]
-    for start, end in zip(edges[:-1], edges[1:], strict=True):
-        part = rest if start is None else rest.filter(F.col(order_field) >= start)
-        yield part if end is None else part.filter(F.col(order_field) < end)
+
+    def part(start: int | None, end: int | None) -> DataFrame:
+        out = rest if start is None else rest.filter(F.col(order_field) >= value_of(df, order_field, start))
+        return out if end is None else out.filter(F.col(order_field) < value_of(df, order_field, end))
+
+    seen, begin, first, ahead = None, None, 0, _AHEAD
+    while starts := page_starts(rest, order_field, max_rows, first, ahead):
+        for start in starts:
+            if seen is not None and start > seen:
+                yield part(begin, start)
+                begin = start
+            seen = start if seen is None else max(seen, start)  # what lies below the first start came later
+        first, ahead = first + ahead, min(8 * ahead, _MOST_AHEAD)
+    yield part(begin, None)
