@@ -278,3 +278,34 @@ def test_the_longest_network_counts(spark):
         assert got[i] == best, (t, got[i], best)
     assert len(got) == len(ips)
     assert lookup.network_place(facts, "ip", spark.createDataFrame([], "network string, place string"), ["place"]).filter("place is null").count() == len(ips)
+
+
+# --- narrow exchanges, index by key -------------------------------------------------------
+
+def test_json_is_read_before_the_rows_of_cases_are_joined(spark):
+    from tidemark.catalog.domain import Domain
+    from tidemark.plans import chargebacks as cb
+    from tests.conftest import SMALL
+
+    def joins(plan):
+        if plan.nodeName() == "Join":
+            yield plan.output().mkString(",")
+        for i in range(plan.children().size()):
+            yield from joins(plan.children().apply(i))
+
+    t = Domain(spark, SMALL)
+    cases = cb.identity_cases(t, "2001-12-01", 4000)
+    peers = spark.createDataFrame([(1, "h")], "payment_id long, txn_hash string")
+    for df in (cases, cb.avs_answers(t, peers), cb.answered_eci(t, peers), cb.authentication_evidence(t, peers), cb._ip_features(t, peers)):
+        found = list(joins(df._jdf.queryExecution().optimizedPlan()))
+        assert found and not any(name in x for x in found for name in ("raw_response", "threeds#", "data#"))
+
+
+def test_the_index_is_written_by_more_tasks_than_it_has_slots(spark, tmp_path, plain_shuffles):  # noqa: F811
+    from tidemark.sinks.keyindex import KeyIndex
+
+    index = KeyIndex(spark, str(tmp_path / "table"), "id", "day", slots=2)
+    rows = spark.range(5000).selectExpr("id", "'d' || id % 3 AS day")
+    index.done(index.note(rows))
+    assert min(len(list(p.glob("*.parquet"))) for p in (tmp_path / "table__keys" / "segment=1").glob("__slot=*")) > 4
+    assert index.misplaced(rows).isEmpty()
