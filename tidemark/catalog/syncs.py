@@ -144,12 +144,11 @@ def streamed_newest(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", F.lit(1).alias("version"))
     newer = e.filter("event_id % 5 = 0").select("event_id", F.expr("ts + interval 1 day").alias("ts"), (F.col("value") + 1).alias("value"), F.lit(2).alias("version"))
     older = e.filter("event_id % 4 = 0").select("event_id", "ts", (F.col("value") - 1).alias("value"), F.lit(0).alias("version"))
-    for part in (e, newer, older):
-        part.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).coalesce(1).write.mode("append").parquet(f"{run}/in")
-    shape = spark.read.parquet(f"{run}/in").schema
-    query = ingest_newest(event_stream(spark, f"{run}/in", shape, files_per_trigger=1).drop("source_file"), f"{run}/table", f"{run}/state",
-                          newest_by=["version"])
-    query.awaitTermination()
+    for part in (e, newer, older):  # each a micro-batch of as many files as it takes
+        part.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).write.mode("append").parquet(f"{run}/in")
+        shape = spark.read.parquet(f"{run}/in").schema
+        query = ingest_newest(event_stream(spark, f"{run}/in", shape).drop("source_file"), f"{run}/table", f"{run}/state", newest_by=["version"])
+        query.awaitTermination()
     return spark.read.parquet(f"{run}/table").select("event_id", "ts", "value", F.col("day").cast("string").alias("day"))
 
 

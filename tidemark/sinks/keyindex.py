@@ -60,7 +60,8 @@ class KeyIndex:
     def note(self, rows: DataFrame) -> int:
         """Write where the keys of ``rows`` are going to be; returns the segment, to be marked when they are there."""
         segment = max(self.segments(), default=0) + 1
-        (self._keyed(rows).distinct().withColumn("__slot", self._slot()).repartition("__slot").write.mode("overwrite")
+        # tasks by key, each with a part of every slot: as many as the rows ask for, where tasks by slot would be ``slots`` at most
+        (self._keyed(rows).distinct().withColumn("__slot", self._slot()).write.mode("overwrite")
          .partitionBy("__slot").parquet(self._folder(segment)))
         return segment
 
