@@ -162,6 +162,19 @@ def test_near_lines_of_lengths_about_the_counted_ends(spark):
     assert got == {frozenset(p) for p in itertools.combinations(distinct, 2) if abs(len(p[0]) - len(p[1])) <= 2 and edits(*p) <= 2} and len(got) > 20
 
 
+def test_lines_made_from_one_by_other_words_are_not_listed_in_pairs(spark):
+    rng = random.Random(10)
+    words = ["".join(rng.choices("enatrisodhlu", k=rng.randint(2, 6))) for _ in range(16)]
+    lists = [[*words[:at], "".join(rng.choices("enatrisodhlu", k=rng.randint(1, 4))), *words[at + 1:]] for at in range(16) for _ in range(12)]
+    distinct = sorted({" ".join(x) for x in lists} | {" ".join(words), " ".join(words) + "s", " ".join(words)[1:]})
+    df = lines.lines_of(frame(spark, list(enumerate(distinct * 2))), "doc_id", "text")
+    name = {r.h: r.line for r in df.collect()}
+    got = Counter(frozenset((name[r.a], name[r.b])) for r in lines.near_lines(df).collect())
+    assert got == Counter(frozenset(p) for p in itertools.combinations(distinct, 2) if abs(len(p[0]) - len(p[1])) <= 2 and edits(*p) <= 2) and len(got) > 20
+    # a line has 12 substrings to look up; the pairs of lines that share one are 13,994 here
+    assert lines._met(df, 2, 30).count() <= 12 * len(distinct)
+
+
 def test_repeated_lines_go_and_first_ones_stay(spark):
     long = "this is a rather long line of a text, number one"
     rows = [(1, f"{long}\n\nshort\nshort"), (2, f"short\nother\n{long}!"), (None, "short\nmine"), *EDGES[1:]]

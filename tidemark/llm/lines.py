@@ -8,10 +8,14 @@ and probes with the substrings at those places for each length it can meet.  Pai
 verified by the edit distance.  Near copies form classes; the first line of a class in the order
 (document, line) stays and the others go, as do exact repeats of any line with a word.
 
+A segment of more than ``FEW`` lines, as lines made from one by other words share many of, gives no pairs: the lines that meet
+there are listed once each, and compared in a join by their counts of characters and then their text, which yields
+the near copies alone.  Its comparisons grow with the square of such a crowd, its rows and memory do not.
+
 The verification is Spark's ``levenshtein`` with a threshold, which is banded; SQL has no bit
-vectors of a line's length, so it is not the bit-parallel form.  Before it, counts of twelve frequent
-characters at the ends of the lines, modulo 4 in two bits each, reject pairs inside the join: one edit changes two counts by one.
-Lines are exchanged once with their text; index and probes carry hashes.
+vectors of a line's length, so it is not the bit-parallel form.  The counts are of ASCII characters in the whole line,
+modulo 4 in two bits each: one edit changes two counts by one.
+Index and probes carry hashes; the texts are read again for the lines that meet, and for no others.
 
 Defined results: a null text has no lines; lines without a word are never compared and stay; lines
 shorter than ``min_chars`` are compared exactly only; a document is an id and a text, in this order, so rows of
@@ -22,15 +26,15 @@ Everything on the way is built-in functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_CHARACTER, components, kept, letting, register, table
+from tidemark.llm.common import WORD_CHARACTER, components, kept, register, table
 
 _LAST = (1 << 63) - 1
-_COUNTED = " enatrisodhl"
-#: Characters at each end of a line that are counted.
-_END = 48
+_COUNTED = " enatrisodhlucmfgpwbvk"
+#: Lines of a segment whose pairs are listed.
+FEW = 8
 
 
 def _segment(n: Column, i: Column, segments: int) -> tuple[Column, Column]:
@@ -41,18 +45,13 @@ def _segment(n: Column, i: Column, segments: int) -> tuple[Column, Column]:
 
 
 def _counts(line: Column) -> Column:
-    """Two bits for each counted character: how often it occurs, modulo 4, in a short line or in both ends of a longer one, which a bit tells.
-
-    One edit changes the characters of an end by one coming in and one going out at most.
-    """
-    n, counted = F.char_length(line), F.array(*[F.lit(c) for c in _COUNTED])
-    ends = F.when(n <= 2 * _END + 1, line).otherwise(F.concat(F.substring(line, 1, _END), F.substring(line, -_END, _END)))
-
-    def bits(text: Column, size: Column) -> Column:
-        return F.aggregate(counted, F.lit(0), lambda sofar, c: F.shiftleft(sofar, 2).bitwiseOR((size - F.char_length(F.replace(text, c, F.lit("")))) % 4))
-
-    return letting(ends, lambda text: letting(F.char_length(text), lambda size: bits(text, size))).bitwiseOR(
-        F.when(n > 2 * _END + 1, 1 << 2 * len(_COUNTED)).otherwise(0))
+    """Two bits for each counted character: how often it occurs, modulo 4; each is taken out before the next is counted."""
+    rest, out = line, F.lit(0).cast("long")
+    for i, c in enumerate(_COUNTED):
+        left = F.replace(rest, F.lit(c), F.lit(""))
+        out = out + F.shiftleft(((F.octet_length(rest) - F.octet_length(left)) % 4).cast("long"), 2 * i)
+        rest = left
+    return out
 
 
 def _keyed(lined: DataFrame, tries: list[tuple[int, int, int]], segments: int) -> DataFrame:
@@ -63,7 +62,7 @@ def _keyed(lined: DataFrame, tries: list[tuple[int, int, int]], segments: int) -
     each = lined.withColumn("t", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in tries])))
     other = F.col("n") - F.col("t.d")
     at, size = _segment(other, F.col("t.i"), segments)
-    return each.select("h", "c", F.col("t.d").alias("d"), F.xxhash64("t.i", other, F.substring(F.col("line"), at + F.col("t.s"), size)).alias("key"))
+    return each.select("h", F.col("t.d").alias("d"), F.col("t.s").alias("s"), F.xxhash64("t.i", other, F.substring(F.col("line"), at + F.col("t.s"), size)).alias("key"))
 
 
 def _difference(a: Column, b: Column) -> Column:
@@ -76,12 +75,6 @@ def _difference(a: Column, b: Column) -> Column:
     return F.bit_count(some) + F.bit_count(two)
 
 
-def _may_be_near(a: Column, b: Column, threshold: int) -> Column:
-    """Whether the counts leave room for so few edits; a line just too long to be counted whole lacks some characters beside one counted whole."""
-    mixed = F.shiftright(a.bitwiseXOR(b), 2 * len(_COUNTED)) != 0
-    return _difference(a, b) <= F.when(mixed, 3 * threshold + 1).otherwise(2 * threshold)
-
-
 def _document(key: str, text: str) -> list[Column]:
     """What names a document: its id and a hash of its text."""
     return [F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("copy")]
@@ -93,24 +86,44 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
             .where(F.col("line").rlike(WORD_CHARACTER)).select("id", "copy", "at", "line", F.xxhash64("line").alias("h")))
 
 
-def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> DataFrame:
-    """(a, b): hashes of all pairs of distinct lines with one to ``threshold`` edits between them."""
+def _met(lines: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+    """(a, b, key, same, own): lines b that share a segment with a, being as long or longer; or, of a segment of many lines, without a, b that have it.
+
+    ``same`` tells lines of one length, ``own`` that the segment is in its place.
+    """
     segments = threshold + 1
-    min_chars = max(min_chars, segments)
-    texts = (lines.where(F.char_length("line") >= min_chars - threshold).groupBy("h").agg(F.max("line").alias("line"))
-             .select("h", "line", F.char_length("line").alias("n")))
-    lined = texts.select("h", "line", "n", _counts(F.col("line")).alias("c"))
+    lined = (lines.select("h", "line", F.char_length("line").alias("n")).where(F.col("n") >= max(min_chars, segments) - threshold))
     index = [(i, 0, 0) for i in range(segments)]
     probes = [(i, d, s) for i in range(segments) for d in range(threshold + 1)  # the probed line is shorter by d
               for s in range(max(-i, d - (threshold - i)), min(i, d + (threshold - i)) + 1)]
-    indexed = _keyed(lined, index, segments).select(F.col("h").alias("a"), F.col("c").alias("ca"), "key")
-    asked = _keyed(lined, probes, segments).select(F.col("h").alias("b"), F.col("c").alias("cb"), (F.col("d") == 0).alias("same"), "key")
-    met = (indexed.join(asked, (indexed["key"] == asked["key"]) & (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))
-                        & _may_be_near(F.col("ca"), F.col("cb"), threshold)).select("a", "b").distinct())
-    one = texts.select(F.col("h").alias("a"), F.col("line").alias("la"), F.col("n").alias("na"))
-    two = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb"))
-    return (met.join(one, "a").join(two, "b").where((F.col("na") >= min_chars) | (F.col("nb") >= min_chars))
-            .where(F.levenshtein("la", "lb", threshold) >= 0).select("a", "b"))
+    # a line of several documents is one; neither the counts nor the join need another exchange
+    indexed = _keyed(lined, index, segments).select(F.col("h").alias("a"), "key").repartition("key").distinct()
+    asked = _keyed(lined, probes, segments).select(F.col("h").alias("b"), (F.col("d") == 0).alias("same"), ((F.col("d") == 0) & (F.col("s") == 0)).alias("own"),
+                                                   "key").repartition("key").distinct()
+    of_key = Window.partitionBy("key")
+    few = F.col("many") <= FEW
+    indexed = (indexed.withColumn("nth", F.row_number().over(of_key.orderBy("a"))).withColumn("many", F.count("*").over(of_key))
+               .where(few | (F.col("nth") == 1)).select("key", F.when(few, F.col("a")).alias("a")))
+    return (indexed.join(asked, (indexed["key"] == asked["key"]) & (F.col("a").isNull() | (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))))
+            .select("a", "b", indexed["key"], "same", "own"))
+
+
+def near_lines(lines: DataFrame, threshold: int = 2, min_chars: int = 30) -> DataFrame:
+    """(a, b): hashes of all pairs of distinct lines with one to ``threshold`` edits between them."""
+    met = kept(_met(lines, threshold, min_chars))
+    min_chars = max(min_chars, threshold + 1)
+    wanted = kept(met.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct())
+    # always by an exchange: the lines that meet grow with the table, beyond what can be broadcast
+    texts = kept(lines.select("h", "line").join(wanted.hint("merge"), "h", "left_semi").groupBy("h").agg(F.max("line").alias("line")))
+    one = texts.select(F.col("h").alias("a"), F.col("line").alias("la"))
+    two = texts.select(F.col("h").alias("b"), F.col("line").alias("lb"))
+    near = (((F.char_length("la") >= min_chars) | (F.char_length("lb") >= min_chars)) & (F.levenshtein("la", "lb", threshold) >= 0))
+    listed = met.where("a is not null").select("a", "b").distinct().join(one, "a").join(two, "b").where(near).select("a", "b")
+    crowd = kept(met.where("a is null").select("key", "b", "same", "own").join(two, "b").withColumn("c", _counts(F.col("lb"))))
+    pivots = crowd.where("own").select(F.col("key").alias("k"), F.col("b").alias("a"), F.col("c").alias("ca"), F.col("lb").alias("la"))
+    crowded = pivots.join(crowd, (F.col("k") == F.col("key")) & (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") < F.col("b")))
+                          & (_difference(F.col("ca"), F.col("c")) <= 2 * threshold) & near).select("a", "b")
+    return listed.unionByName(crowded).distinct()
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -121,7 +134,7 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **how
     """
     lines = lines_of(docs, key, text)
     links = kept(near_lines(lines, **how))
-    places = lines.select("id", "copy", "at", "h")
+    places = kept(lines.select("id", "copy", "at", "h"))
     firsts = places.groupBy("h").agg(F.min(F.struct("id", "copy", "at")).alias("first"))
     roots = kept(components(links).select(F.col("node").alias("h"), "root"))
     degree = links.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count("*").alias("links"))
