@@ -265,6 +265,54 @@ def test_copies_that_are_alike_to_their_base_only_are_one_class(spark):
     assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, i // 1000 * 1000, size[i // 1000 * 1000]) for i, _ in rows}
 
 
+def test_texts_of_the_pivots_component_meet_under_what_the_texts_outside_leave_open(spark):
+    rng, percent = random.Random(5), 80
+    need = lambda n, m: -(-percent * (n + m) // (100 + percent))
+    pivot, pool, met = set(range(100)), range(1000, 1030), []
+    for i in range(160):  # half of them like the pivot; the groups have texts outside of different distance
+        inside, far = i % 2 == 0, i >= 80
+        of_pivot = rng.randint(91, 97) if inside else rng.randint(20, 40) if far else rng.randint(78, 88)
+        met.append((int(far), i, inside, set(rng.sample(range(100), of_pivot)) | set(rng.sample(pool, rng.randint(2, 100 - of_pivot if of_pivot > 88 else 12)))))
+    rows = []
+    for a, b, inside, own in met:
+        o, n = len(own & pivot), len(own)
+        outside = max((100 + percent) * len(x & pivot) - percent * len(x) for g, _, i, x in met if g == a and not i)
+        lacks = need(n, -(-percent * n // 100)) - o
+        rest = sorted(own - pivot)
+        rows.append((a, b, n, o, 0 if inside else b, 0, rest[:max(0, len(rest) - max(lacks, 1) + 1)], lacks <= 0, outside))
+    df = spark.createDataFrame(rows, "a long, b long, n int, o int, root long, aroot long, others array<long>, tight boolean, outside long")
+    got = {r.b: r for r in nearcopies._needed(df, percent).collect()}
+    assert all(got[b].others == others and got[b].tight == tight for _, b, _, _, root, _, others, tight, _ in rows if root)
+    assert not any(got[b].others or got[b].tight for a, b, inside, _ in met if a and inside)
+    pairs = [(b, c) for (g, b, i, x), (h, c, j, y) in itertools.product(met, met) if g == h and i and not j and len(x & y) >= need(len(x), len(y))]
+    assert len(pairs) > 50
+    assert all(set(got[b].others) & set(got[c].others) or got[b].tight and got[c].tight for b, c in pairs)
+
+
+def test_few_texts_outside_do_not_make_all_copies_meet_again(spark, monkeypatch):
+    rng, rows, written = random.Random(6), [], []
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    for i in range(400):
+        w = list(base)
+        for at in rng.sample(range(4, 296, 7), 3):
+            w[at] = f"new{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    for i in range(400, 440):  # these share a passage only
+        rows.append((i, " ".join(base[:150] + [f"own{rng.randrange(10**9)}" for _ in range(100)])))
+    kept = nearcopies.kept
+
+    def seen(df):
+        out = kept(df)
+        if {"others", "c"} <= set(out.columns):
+            written.append(out.where("root = aroot").agg(F.count("*"), F.sum(F.size("others"))).first())
+        return out
+
+    monkeypatch.setattr(nearcopies, "kept", seen)
+    got = nearcopies.classes(frame(spark, rows).repartition(4)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, 0, 400) if i < 400 else (i, i, 1) for i, _ in rows}
+    assert written[0][0] > 300 and not any(r[1] for r in written)
+
+
 def test_common_length_is_the_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(60):
