@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_writes import largest_share, plain_shuffles  # noqa: F401
+from tidemark.catalog.domain import Domain
 from tidemark.functions import pii
 from tidemark.operators import lookup, reconcile, running
+from tidemark.plans.threeds import authentication_funnel
 from tidemark.sources import batches as b
 from tidemark.streaming import ingest
 
@@ -309,3 +311,23 @@ def test_the_index_is_written_by_more_tasks_than_it_has_slots(spark, tmp_path, p
     index.done(index.note(rows))
     assert min(len(list(p.glob("*.parquet"))) for p in (tmp_path / "table__keys" / "segment=1").glob("__slot=*")) > 4
     assert index.misplaced(rows).isEmpty()
+
+
+# --- authentication funnel --------------------------------------------------------------
+
+def _orders(spark, folder, keys):
+    spark.createDataFrame([(k, k % 50, "F", 10.0, datetime(1996, 1, 1)) for k in keys],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(f"{folder}/orders.parquet")
+    return Domain(spark, str(folder))
+
+
+def test_the_funnel_reads_its_requests_once(spark, tmp_path):
+    df = authentication_funnel(_orders(spark, tmp_path, range(200)), "1995-06-01")
+    assert plan_of(df).count("json_tuple(request_data") == 1
+    assert df.where("threeds_id is null").count() > 20 < df.where("threeds_id is not null").count()
+
+
+def test_requests_without_an_authentication_are_spread(spark, plain_shuffles, tmp_path):  # noqa: F811
+    df = authentication_funnel(_orders(spark, tmp_path, range(4, 20_000, 5)), "1995-06-01")  # no such order has a link
+    assert df.where("threeds_id is not null").isEmpty()
+    assert largest_share(df) < 0.2

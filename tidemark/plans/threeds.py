@@ -125,6 +125,10 @@ def _starts(version: Column, digit: str) -> Column:
     return F.coalesce(F.left(version, F.lit(1)) == digit, F.lit(False))
 
 
+def _spread(key: str) -> Column:
+    return F.xxhash64(F.col(key).cast("string"))
+
+
 def authentication_funnel(t: Tables, since: object) -> DataFrame:
     """The funnel for requests created after ``since``.
 
@@ -139,11 +143,11 @@ def authentication_funnel(t: Tables, since: object) -> DataFrame:
         .join(_first_flow(t, window), "auth_request_id", "left").join(routed, "auth_request_id", "left")
         .join(links, "auth_request_id", "left")
     )
-    # requests without an authentication have no outcome to look for; joined, they would meet in one task
-    found = linked.filter("threeds_id is not null")
+    # requests without an authentication have no outcome to look for; they are spread by their own id, as they would meet in one task
+    r = linked.withColumn("__spread", F.when(F.col("threeds_id").isNotNull(), _spread("threeds_id")).otherwise(_spread("auth_request_id")))
     for service in (_modern(t, links), _legacy(t, links)):
-        found = found.join(service.filter("threeds_id is not null"), "threeds_id", "left")
-    r = found.unionByName(linked.filter("threeds_id is null"), allowMissingColumns=True)
+        outcomes = service.filter("threeds_id is not null").withColumn("__spread", _spread("threeds_id"))
+        r = r.join(outcomes, ["threeds_id", "__spread"], "left")
     version = F.col("version")
     no_version = F.coalesce((version == "0"), F.lit(False)) | version.isNull()
     v1, v2 = _starts(version, "1"), _starts(version, "2")
