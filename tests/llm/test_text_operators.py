@@ -313,6 +313,78 @@ def test_few_texts_outside_do_not_make_all_copies_meet_again(spark, monkeypatch)
     assert written[0][0] > 300 and not any(r[1] for r in written)
 
 
+def seen(monkeypatch, columns):
+    """The numbers of rows of the kept tables that have these columns."""
+    kept, counts = nearcopies.kept, []
+
+    def counted(df):
+        out = kept(df)
+        if set(columns) <= set(out.columns):
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearcopies, "kept", counted)
+    return counts
+
+
+def test_texts_with_passages_in_common_do_not_meet_under_their_other_kmers(spark, monkeypatch):
+    rng, rows = random.Random(8), []
+    passages = [[f"p{p}w{rng.randrange(10**6)}" for _ in range(60)] for p in range(6)]
+    for i in range(400):  # one passage of all and two of a few others, and as many words of their own
+        w = passages[0] + passages[1 + i % 5] + passages[1 + (i + 1 + i // 5 % 4) % 5]
+        rows.append((i, " ".join(w + [f"own{rng.randrange(10**9)}" for _ in range(150)])))
+    under, judged = seen(monkeypatch, ["g", "id", "n", "w"]), seen(monkeypatch, ["ok", "tight"])
+    got = nearcopies.classes(frame(spark, rows).repartition(4)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, i, 1) for i, _ in rows}
+    assert judged and sum(judged) < 25 * len(rows) and max(under[2:]) < len(rows)
+
+
+def test_buckets_of_the_same_texts_are_one(spark, monkeypatch):
+    rng, rows = random.Random(9), []
+    for i in range(0, 200, 2):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows += [(i, " ".join(w)), (i + 1, " ".join([*w[:100], "new", *w[100:]]))]
+    buckets = seen(monkeypatch, ["g", "id", "n", "w"])
+    got = nearcopies.classes(frame(spark, rows).repartition(4)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, i // 2 * 2, 2) for i, _ in rows}
+    assert buckets[0] <= 1.2 * len(rows)
+
+
+@pytest.mark.parametrize("at_once", [3, 1000])
+def test_crowded_kmers_are_those_of_texts_of_two_components(spark, at_once, monkeypatch):
+    rng, few = random.Random(10), [-7, 1 << 62, 5]
+    monkeypatch.setattr(nearcopies, "PART", 20)
+    rows = [(a, 1000 * a + i, 50, i, rng.choice([1, 2, 1000 * a + i]), c, sorted({*rng.sample(range(-300, 300), rng.randint(0, 12)), *few[:rng.randint(0, 3)]}))
+            for a, c in ((1, 90), (2, 7), (3, 1)) for i in range(c)]
+    df = spark.createDataFrame(rows, "a long, b long, n int, w long, root long, c long, others array<long>").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", at_once)
+    try:
+        parts = df.mapInArrow(nearcopies.dealt, nearcopies._PARTS)
+        got = Counter((r.g, r.id, r.n, r.w) for r in parts.repartition("a", "part").sortWithinPartitions("a", "part")
+                      .mapInArrow(nearcopies.crowded, "g long, id long, n int, w long").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    roots = {}
+    for a, b, _, _, root, _, others in rows:
+        for x in others:
+            roots.setdefault((a, x), []).append((b, root))
+    want = Counter(frozenset(b for b, _ in m) for m in roots.values() if len({r for _, r in m}) > 1)
+    buckets = {}
+    for g, b, _, _ in got:
+        buckets.setdefault(g, set()).add(b)
+    assert Counter(map(frozenset, buckets.values())) == want and max(got.values()) == 1
+    assert max(map(len, want)) > 3 * 20
+
+
+def test_the_order_of_common_kmers_changes_no_class(spark, corpus, monkeypatch):
+    rows = [r for r in corpus if r[0] not in (2, 6)]
+    of = lambda: Counter((r.doc_id, r.class_id, r.class_size) for r in nearcopies.classes(frame(spark, rows).repartition(4)).collect())
+    want = of()
+    monkeypatch.setattr(nearcopies, "FEW", 1)
+    monkeypatch.setattr(nearcopies, "SAMPLE", 4)
+    assert of() == want
+
+
 def test_common_length_is_the_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(60):
