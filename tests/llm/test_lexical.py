@@ -98,3 +98,12 @@ def test_bounds_are_the_largest_impacts_and_spare_work(monkeypatch, cells, at_on
     none = np.zeros(0, np.int64)
     scores, ids, spent = tables.search(np.array(list(wanted.values())), none, none, 10)
     assert sorted(scores.tolist()) == sorted(alone.sum(axis=0))[-10:] and spent < 3000 * 3
+
+
+def test_the_index_lies_a_block_a_file(spark):
+    docs = spark.range(0, 700, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("common"), F.concat(F.lit("w"), F.col("id") % 9)).alias("text"))
+    index = lexical.stored(lexical.indexed(docs, block=100))
+    assert index.count() == len(index.inputFiles()) == 7
+    items = spark.createDataFrame([(1, "w3 none"), (2, "w5")], "item_id long, text string")
+    got = [(r.item, r.doc) for r in lexical.ranked(index, items).orderBy("item", "rank").collect()]
+    assert got == [(1, 3 + 9 * i) for i in range(10)] + [(2, 5 + 9 * i) for i in range(10)]
