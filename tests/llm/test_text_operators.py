@@ -510,3 +510,41 @@ def test_rows_with_maps_are_sharded(spark):
     df = spark.range(40).selectExpr("id % 5 AS doc_id", "map('a', id) AS m")
     out = sharding.shuffled_shards(df, shards=4).collect()
     assert sorted(r.m["a"] for r in out) == list(range(40)) and len({(r.shard, r.slot) for r in out}) == 40
+
+
+def test_words_and_sketches_are_those_of_a_plain_reading():
+    import re
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = ["", None, "a", " a\tb\n", "x" * 200 + " é " + "y" * 64 + " " + "y" * 65, "a", "b c", None, "é", "a\x0bb\x0cc\rd", "a\xa0b", " "]
+    texts += [" ".join(rng.choice(["on", "the", "thereafter", "of", "é" * 9, "or"], n)) for n in (3, 40, 300)]
+    for lo, hi in ((0, len(texts)), (3, 9), (1, 2), (4, 4)):
+        own = pa.array(texts, pa.string()).slice(lo, hi - lo)
+        words, row = nearcopies.hashed_words(own)
+        want = [(w, i) for i, t in enumerate(texts[lo:hi]) for w in re.split("[ \t-\r]+", t or "") if w]
+        assert row.tolist() == [i for _, i in want] and len(words) == len(want)
+        assert len(set(words.tolist())) == len({w for w, _ in want}) == len(set(zip(words.tolist(), (w for w, _ in want))))
+    kmers, row = nearcopies.shingles(pa.array(texts), 2)
+    x = nearcopies.labelled(kmers, row)
+    came, plain = Counter(), []
+    for k, r in zip(kmers.tolist(), row.tolist()):
+        plain.append((r, k, came[r, k]))
+        came[r, k] += 1
+    assert len(set(zip(x.tolist(), row.tolist()))) == len(set(plain)) == len(plain) == len(x)
+    rows, which, _ = nearcopies.sketch(x, row, len(texts), 6, 4)
+    assert sorted(zip(rows.tolist(), which.tolist())) == [(r, e) for r in sorted(set(row.tolist())) for e in range(6)]
+    # a text of many k-mers is sketched alike beside any others, and in its order
+    alone = nearcopies.sketch(x[row == len(texts) - 1], np.zeros(int((row == len(texts) - 1).sum()), np.int64), 1, 6, 4)[2]
+    assert alone.tolist() == nearcopies.sketch(x, row, len(texts), 6, 4)[2][rows == len(texts) - 1].tolist()
+
+
+def test_words_are_hashed_without_a_call_for_each(monkeypatch):
+    import pyarrow as pa
+    import xxhash
+
+    calls = []
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda b: calls.append(b) or 7)
+    words, _ = nearcopies.hashed_words(pa.array([" ".join(map(str, range(100_000))) + " " + "z" * 65]))
+    assert len(set(words.tolist())) == 100_001 and len(calls) == 1  # of the long word
